@@ -143,7 +143,11 @@ def _(spark, sf):
 
 
 @query("date_token", with_(BASE, """
-  SELECT k, CASE WHEN k % 5 = 4 THEN NULL ELSE d END AS day, CASE WHEN k % 5 <> 4 THEN d END AS table_day FROM base"""))
+  , r AS (SELECT *, k % 2 = 1 AND day(d) IN (19, 20) AS misread FROM base) -- 19.. and 20.. are taken for a year
+  SELECT k, CASE WHEN k % 5 = 4 OR misread THEN NULL ELSE d END AS day,
+    -- a small number is taken for an Excel serial first
+    CASE WHEN k % 5 IN (1, 2, 3) AND k % 2 = 1 AND day(d) < 3 THEN DATE '1899-12-30' + CAST(strftime(d, '%d%m%Y') AS INTEGER)
+      WHEN k % 5 = 0 OR (k % 5 <> 4 AND NOT misread) THEN d END AS table_day FROM r"""))
 def _(spark, sf):
     k = F.col("k")
     bad = F.when(k % 2 == 0, "99999999").otherwise("19991345")

@@ -52,6 +52,11 @@ def first_present(*values) -> Column:
     return F.coalesce(*[blank_to_null(v) for v in values])
 
 
+def let(value, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(_c(value)), body), F.lit(0))
+
+
 # ---------------------------------------------------------------- invoice numbers
 
 def invoice_number(value) -> Column:
@@ -69,6 +74,11 @@ def document_type(value) -> Column:
     )
 
 
+def kind_of_number(number) -> Column:
+    """Document type of an already normalised invoice number."""
+    return F.when(F.startswith(_c(number), F.lit("AAF")), fx.AVOIR).otherwise(fx.FACTURE)
+
+
 # ---------------------------------------------------------------- amounts
 
 _DIGITS = r"[0-9]+(?:[.,][0-9]+)*"
@@ -103,10 +113,10 @@ def money(value, dtype: str) -> Column:
 
 def signed(value, kind) -> Column:
     """Credit notes are negative, invoices positive, other documents keep their sign."""
-    value, kind = _c(value), _c(kind)
-    return (
-        F.when(kind == fx.AVOIR, -F.abs(value)).when(kind == fx.FACTURE, F.abs(value)).otherwise(value)
-    ).cast(MONEY)
+    value = _c(value)
+    factors = F.create_map(F.lit(fx.AVOIR), F.lit(-1), F.lit(fx.FACTURE), F.lit(1))
+    factor = F.coalesce(F.try_element_at(factors, _c(kind)), F.signum(value).cast("int"))
+    return (F.abs(value) * factor).cast(MONEY)
 
 
 def lenient_number(value, drop_commas: bool = False) -> Column:

@@ -9,20 +9,23 @@ from . import fixed as fx
 from .scalars import _c, no_spaces
 
 
+def _table(values: dict) -> Column:
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+
+
 def lookup(key, values: dict[str, str], otherwise: str | None = None) -> Column:
-    """``CASE key WHEN ... THEN ...`` over a small fixed mapping."""
-    key, result = _c(key), None
-    for name, value in values.items():
-        result = F.when(key == name, value) if result is None else result.when(key == name, value)
-    return result.otherwise(F.lit(otherwise)) if otherwise is not None else result
+    """Value of a key in a small fixed mapping.
+
+    A map lookup names the key once, where a CASE would repeat the expression behind it per branch
+    as soon as a filter is pushed below the projection.
+    """
+    found = F.try_element_at(_table(values), _c(key))
+    return F.coalesce(found, F.lit(otherwise)) if otherwise is not None else found
 
 
 def rank(key, order: list[str]) -> Column:
     """Position of the key in a fixed order, 99 when it is not listed."""
-    key, result = _c(key), None
-    for i, name in enumerate(order):
-        result = F.when(key == name, i) if result is None else result.when(key == name, i)
-    return result.otherwise(99)
+    return F.coalesce(F.try_element_at(_table({name: i for i, name in enumerate(order)}), _c(key)), F.lit(99))
 
 
 def priority(status) -> Column:
@@ -34,23 +37,20 @@ def action(status) -> Column:
 
 
 def severity(status, impact) -> Column:
-    name, size = F.upper(F.trim(_c(status))), F.abs(F.coalesce(_c(impact), F.lit(0)))
-    return (
-        F.when(name == fx.OK, "OK")
-        .when(
-            name == fx.MISSING,
-            F.when(size >= fx.CRITICAL_FROM, "CRITIQUE").when(size >= fx.HIGH_FROM, "ELEVEE").otherwise("MOYENNE"),
-        )
-        .when(name == fx.OUT_OF_PERIOD, "INFORMATION")
-        .when(name.isin(fx.AMOUNT_GAP, fx.DUPLICATE), "ELEVEE")
-        .when(name.isin(fx.DATE_GAP, fx.BANK_ONLY), "MOYENNE")
-        .otherwise("A_VERIFIER")
+    """Severity of a status; missing documents are graded by the size of the impact."""
+    size = F.abs(_c(impact))
+    graded = F.when(size >= fx.CRITICAL_FROM, "CRITIQUE").when(size >= fx.HIGH_FROM, "ELEVEE").otherwise("MOYENNE")
+    grades = F.create_map(
+        F.lit(fx.OK), F.lit("OK"), F.lit(fx.MISSING), graded, F.lit(fx.OUT_OF_PERIOD), F.lit("INFORMATION"),
+        F.lit(fx.AMOUNT_GAP), F.lit("ELEVEE"), F.lit(fx.DUPLICATE), F.lit("ELEVEE"),
+        F.lit(fx.DATE_GAP), F.lit("MOYENNE"), F.lit(fx.BANK_ONLY), F.lit("MOYENNE"),
     )
+    return F.coalesce(F.try_element_at(grades, F.upper(F.trim(_c(status)))), F.lit("A_VERIFIER"))
 
 
 def known_severity() -> Column:
     """The row's severity, worked out again where it is empty."""
-    return F.coalesce(F.nullif(F.col("severity"), F.lit("")), severity("status", "montant_impacte"))
+    return F.coalesce("severity", severity("status", "montant_impacte"))
 
 
 def missing_category(kind, invoice) -> Column:

@@ -45,7 +45,7 @@ def prepared(frame: DataFrame, src: str) -> DataFrame:
     position = F.col("sheet_ord") if "sheet_ord" in types else F.lit(0)
     if src == PDF and part_column in types:
         position = F.col(part_column).try_cast("int")
-    kind = s.blank_to_null(text("document_type")) if "document_type" in types else s.document_type(invoice)
+    kind = s.blank_to_null(text("document_type")) if "document_type" in types else F.lit(None).cast("string")
     value = lambda c: s.money(c, types[c]) if c in types else F.lit(None).cast(s.MONEY)
     day = lambda c: s.day(c, types[c]) if c in types else F.lit(None).cast("date")
     covered = F.lit(None).cast("boolean")
@@ -132,17 +132,16 @@ def _finished(src: str) -> list[tuple[str, Column]]:
     """Result columns of one source from its aggregates."""
     g = lambda name: F.col(f"{src}_{name}")
     present = g("count") > 0
-    kind = F.when(present, F.coalesce(g("kind"), s.document_type("invoice_number")))
-    split = lambda name: g(name + "_lo") != g(name + "_hi")
+    kind = F.when(present, F.coalesce(g("kind"), s.kind_of_number("invoice_number")))
+    split = lambda name: F.coalesce(g(name + "_lo") != g(name + "_hi"), F.lit(False))
     amounts_differ = F.when(kind.isin(fx.AVOIR, fx.FACTURE), split("size")).otherwise(split("amount"))
-    flag = lambda c: F.coalesce(c, F.lit(False))
-    conflict = (g("count") > 1) & (flag(amounts_differ) | flag(split("kind")) | flag(split("day")))
+    conflict = (g("count") > 1) & (amounts_differ | split("kind") | split("day"))
     labels = F.array_join(F.array_distinct(F.transform(F.array_sort(g("labels")), lambda x: x["label"])), "; ")
     columns = [
         (f"document_type_{src}", kind),
         (_AMOUNT[src], s.signed(g("amount"), kind)),
         (_DATE[src], g("day")),
-        (f"source_{src}", F.nullif(labels, F.lit(""))),
+        (f"source_{src}", F.when(F.size(g("labels")) > 0, labels)),
         (f"{src}_count", g("count")),
         (f"{src}_duplicate_conflict", conflict),
     ]
@@ -170,7 +169,7 @@ def _bank_columns() -> list[tuple[str, Column]]:
     return [
         (
             "document_type_consolidated",
-            F.coalesce("document_type_pdf", "document_type_rci", s.document_type("invoice_number")),
+            F.coalesce("document_type_pdf", "document_type_rci", s.kind_of_number("invoice_number")),
         ),
         (
             "consolidated_duplicate_conflict",
@@ -194,46 +193,65 @@ def consolidate(rci: DataFrame, pdf: DataFrame) -> DataFrame:
     )
 
 
-def _date_gap() -> Column:
-    bank = F.coalesce("pdf_invoice_date", "rci_date")
-    return (
-        F.col("erp_date").isNull()
-        | bank.isNull()
-        | (F.col("erp_date") != bank)
-        | ((F.col("pdf_count") > 0) & F.col("due_date").isNull())
+def _facts() -> Column:
+    """What the decision needs, by name."""
+    same_day = F.col("erp_date") == F.coalesce("pdf_invoice_date", "rci_date")
+    return F.struct(
+        "late", "amount_erp", "amount_rci", "amount_pdf", "is_rci_covered",
+        (F.col("erp_count") > 0).alias("in_erp"),
+        ((F.col("rci_count") > 0) | (F.col("pdf_count") > 0)).alias("in_bank"),
+        (F.col("erp_duplicate_conflict") | F.col("consolidated_duplicate_conflict")).alias("conflict"),
+        F.coalesce(same_day, F.lit(False)).alias("same_day"),
+        ((F.col("pdf_count") > 0) & F.col("due_date").isNull()).alias("undue"),
+        F.when(
+            ~F.col("late"), (F.col("amount_erp") - F.coalesce("amount_pdf", "amount_rci")).cast(s.MONEY)
+        ).alias("gap"),
     )
 
 
-def _status(tolerance) -> Column:
-    in_erp = F.col("erp_count") > 0
-    in_bank = (F.col("rci_count") > 0) | (F.col("pdf_count") > 0)
-    conflict = F.col("erp_duplicate_conflict") | F.col("consolidated_duplicate_conflict")
+def _status(x: Column, tolerance) -> Column:
     limit = F.lit(str(tolerance)).cast("decimal(18,6)")
     return (
-        F.when(F.col("late"), fx.OUT_OF_PERIOD)
-        .when(in_erp & ~in_bank & ~F.col("is_rci_covered"), fx.OUT_OF_SCOPE)
-        .when(in_erp & ~in_bank, fx.MISSING)
-        .when(~in_erp, fx.BANK_ONLY)
-        .when(conflict, fx.DUPLICATE)
-        .when(F.col("amount_gap").isNull() | (F.abs("amount_gap") > limit), fx.AMOUNT_GAP)
-        .when(_date_gap(), fx.DATE_GAP)
+        F.when(x["late"], fx.OUT_OF_PERIOD)
+        .when(x["in_erp"] & ~x["in_bank"] & ~x["is_rci_covered"], fx.OUT_OF_SCOPE)
+        .when(x["in_erp"] & ~x["in_bank"], fx.MISSING)
+        .when(~x["in_erp"], fx.BANK_ONLY)
+        .when(x["conflict"], fx.DUPLICATE)
+        .when(F.coalesce(F.abs(x["gap"]) > limit, F.lit(True)), fx.AMOUNT_GAP)
+        .when(x["undue"] | ~x["same_day"], fx.DATE_GAP)
         .otherwise(fx.OK)
     )
 
 
-def _impact() -> Column:
-    status = F.col("status")
-    size = lambda *names: F.coalesce(F.abs(F.coalesce(*names)), F.lit(0)).cast(s.MONEY)
+def _impact(x: Column, status: Column) -> Column:
+    size = lambda *names: F.coalesce(F.abs(F.coalesce(*[x[n] for n in names])), F.lit(0)).cast(s.MONEY)
     return (
         F.when(status.isin(fx.MISSING, fx.DATE_GAP), size("amount_erp"))
         .when(status == fx.BANK_ONLY, size("amount_pdf", "amount_rci"))
         .when(status == fx.DUPLICATE, size("amount_erp", "amount_pdf", "amount_rci"))
-        .when(status == fx.AMOUNT_GAP, size("amount_gap"))
+        .when(status == fx.AMOUNT_GAP, size("gap"))
         .otherwise(F.lit(0))
         .cast(s.MONEY)
     )
 
 
+def _decision(tolerance) -> Column:
+    """Gap, status, impact and severity as one struct.
+
+    Each value is bound before the next one names it. Written as a chain of columns, a filter on the
+    severity would be pushed below the chain with every mention of the status and the impact spelt
+    out again.
+    """
+    graded = lambda y: F.struct(
+        y["gap"].alias("amount_gap"), y["status"].alias("status"), y["impact"].alias("montant_impacte"),
+        w.severity(y["status"], y["impact"]).alias("severity"),
+    )
+    weighed = lambda x, status: s.let(
+        F.struct(x["gap"].alias("gap"), status.alias("status"), _impact(x, status).alias("impact")), graded
+    )
+    return s.let(_facts(), lambda x: s.let(_status(x, tolerance), lambda status: weighed(x, status)))
+
+
 def matched(
     erp: DataFrame,
     rci: DataFrame,
@@ -256,18 +274,9 @@ def matched(
     )
     sides = grouped.select(
         "invoice_number", "late", *[c.alias(n) for src in (ERP, RCI, PDF) for n, c in _finished(src)]
-    )
-    return (
-        sides.withColumns(dict(_bank_columns()))
-        .withColumn(
-            "amount_gap",
-            F.when(
-                ~F.col("late"),
-                (F.col("amount_erp") - F.coalesce("amount_pdf", "amount_rci")).cast(s.MONEY),
-            ),
-        )
-        .withColumn("status", _status(tolerance))
-        .withColumn("montant_impacte", _impact())
+    ).withColumns(dict(_bank_columns()))
+    return sides.select("*", _decision(tolerance).alias("decision")).select(
+        *sides.columns, "decision.amount_gap", "decision.status", "decision.montant_impacte", "decision.severity"
     )
 
 
@@ -284,10 +293,9 @@ def reconcile(
     return rows.withColumns(
         {
             "document_type": F.coalesce(
-                "document_type_erp", "document_type_consolidated", s.document_type("invoice_number")
+                "document_type_erp", "document_type_consolidated", s.kind_of_number("invoice_number")
             ),
             "priority": w.priority("status"),
-            "severity": w.severity("status", "montant_impacte"),
             "included_in_corrective_batch": F.lit(False),
             "action_recommandee": w.action("status"),
             "commentaire_audit": F.when(F.col("late"), fx.COMMENT_OUT_OF_PERIOD),

@@ -83,19 +83,24 @@ def period_bounds(erp: DataFrame, rci: DataFrame, pdf: DataFrame, config: Period
     )
 
 
+def _given_day(spark, text: str) -> date:
+    try:
+        return date.fromisoformat(str(text))
+    except ValueError:
+        day = spark.range(1).select(s.date_value(F.lit(str(text))).alias("day")).first().day
+    if day is None:
+        raise ValueError(f"not a date: {text}")
+    return day
+
+
 def manual_period(spark, date_from: str | None, date_to: str | None) -> Period:
     """Period given by the caller; both dates are needed, in order."""
     if not date_from or not date_to:
         raise ValueError("date_from and date_to must be given together")
-    row = spark.range(1).select(
-        s.date_value(F.lit(str(date_from))).alias("a"), s.date_value(F.lit(str(date_to))).alias("b")
-    ).first()
-    for value, text in ((row.a, date_from), (row.b, date_to)):
-        if value is None:
-            raise ValueError(f"not a date: {text}")
-    if row.a > row.b:
+    start, end = _given_day(spark, date_from), _given_day(spark, date_to)
+    if start > end:
         raise ValueError("date_from must not be after date_to")
-    return Period(row.a, row.b, "manual", "cli")
+    return Period(start, end, "manual", "cli")
 
 
 def resolve(

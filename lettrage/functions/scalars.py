@@ -7,6 +7,7 @@ error, also under ANSI mode.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -280,6 +281,17 @@ def header_key(value) -> Column:
     return F.regexp_replace(text, "[^a-z0-9]+", "")
 
 
+def alias_key(text: str) -> str:
+    """`header_key` of an unaccented alias, for building lookup arrays."""
+    text = re.sub(r"\b(?:no|num)\b\.?|\bn\b", "numero", text.lower())
+    return re.sub("[^a-z0-9]+", "", text)
+
+
+def word_key(text: str) -> str:
+    """`reference_key` of an unaccented title word."""
+    return re.sub("[^a-z0-9]+", "", text.lower())
+
+
 def reference_key(value) -> Column:
     """Canonical form of a coverage-list title."""
     return F.regexp_replace(F.lower(folded_name(value)), "[^a-z0-9]+", "")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from . import fixed as fx
 
-SPACES = r"(?U)\s+"
+SPACES = "[\\s\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 MONEY = "decimal(18,2)"
 
 
@@ -86,12 +86,24 @@ _DIGITS = r"[0-9]+(?:[.,][0-9]+)*"
 
 
 def amount(value) -> Column:
-    """French amount text to decimal: ``1.189.358,56``, ``865,79-``, ``(12,00)``, ``1 234 MAD``."""
-    raw = _c(value)
-    text = F.regexp_replace(no_spaces(raw), r"(?i)mad|dhs?|eur|euro|\$", "")
-    number = F.regexp_extract(text, r"^\(?[+-]?(" + _DIGITS + r")-?\)?$", 1)
-    balanced = F.startswith(text, F.lit("(")) == F.endswith(text, F.lit(")"))
-    negative = text.rlike(r"[(-]")
+    """French amount text to decimal: ``1.189.358,56``, ``865,79-``, ``(12,00)``, ``1 234 MAD``.
+
+    The cleaned text and its digits are bound once; spelt out per rule they would be matched again
+    and again.
+    """
+    text = F.regexp_replace(no_spaces(value), r"(?i)mad|dhs?|eur|euro|\$", "")
+
+    def read(text: Column) -> Column:
+        balanced = F.startswith(text, F.lit("(")) == F.endswith(text, F.lit(")"))
+        negative = F.contains(text, F.lit("-")) | F.contains(text, F.lit("("))
+        number = F.regexp_extract(text, r"^\(?[+-]?(" + _DIGITS + r")-?\)?$", 1)
+        sign = F.when(balanced, F.when(negative, -1).otherwise(1))
+        return let(number, lambda n: (_decimal(n) * sign).cast(MONEY))
+
+    return let(text, read)
+
+
+def _decimal(number: Column) -> Column:
     plain = (
         # decimal comma: dots before it are thousands marks
         F.when(number.rlike(r"^[0-9.]+,[0-9]+$"), F.translate(number, ",.", "."))
@@ -99,8 +111,7 @@ def amount(value) -> Column:
         .when(number.rlike(r"^[0-9]+(?:\.[0-9]+)?$"), number)
         .when(number.rlike(r"^[0-9]+(?:\.[0-9]{3}){2,}$"), F.translate(number, ".", ""))
     )
-    read = plain.try_cast(MONEY)
-    return F.when(balanced & ~is_null_marker(raw), F.when(negative, -read).otherwise(read))
+    return plain.try_cast(MONEY)
 
 
 def money(value, dtype: str) -> Column:
@@ -144,13 +155,11 @@ def excel_serial(value) -> Column:
 
 
 _CLOCK = r"(?:[01][0-9]|2[0-3])(?::[0-5][0-9](?::[0-5][0-9](?:[.,][0-9]+)?)?)?(?:Z|[+-][0-9]{2}:?[0-9]{2})?"
-_ISO = r"^([0-9]{4})-([0-9]{2})-([0-9]{2})(?:." + _CLOCK + ")?$"
-_DAY_FIRST = r"^([0-9]{1,2})([/.-])([0-9]{1,2})\2([0-9]{4}|[0-9]{2})$"
-_YEAR_FIRST = (
-    r"^([0-9]{4})([/-])([0-9]{1,2})\2([0-9]{1,2})$"
-)
+_ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:." + _CLOCK + ")?$"
+_DAY_FIRST = r"^[0-9]{1,2}([/.-])[0-9]{1,2}\1(?:[0-9]{4}|[0-9]{2})$"
+_YEAR_FIRST = r"^[0-9]{4}([/-])[0-9]{1,2}\1[0-9]{1,2}$"
 _YEAR_FIRST_CLOCK = (
-    r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2}) (?:2[0-3]|[01]?[0-9]):[0-5]?[0-9]:(?:6[01]|[0-5]?[0-9])$"
+    r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} (?:2[0-3]|[01]?[0-9]):[0-5]?[0-9]:(?:6[01]|[0-5]?[0-9])$"
 )
 
 
@@ -163,22 +172,19 @@ def _full_year(year: Column) -> Column:
 
 def date_value(value) -> Column:
     """Date of a text cell: Excel serial, ISO (time and zone dropped) or day-first forms."""
-    text = squeeze(value)
-    part = lambda pattern, i: F.regexp_extract(text, pattern, i)
-    number = F.when(text.rlike(r"^[0-9]+(?:[.,][0-9]+)?$"), F.translate(text, ",", ".").try_cast("double"))
-    return (
-        F.when(number.isNotNull(), excel_serial(number))
-        .when(text.rlike(_ISO), _iso(part(_ISO, 1), part(_ISO, 2), part(_ISO, 3)))
-        .when(
-            text.rlike(_DAY_FIRST),
-            _iso(_full_year(part(_DAY_FIRST, 4)), part(_DAY_FIRST, 3), part(_DAY_FIRST, 1)),
-        )
-        .when(text.rlike(_YEAR_FIRST), _iso(part(_YEAR_FIRST, 1), part(_YEAR_FIRST, 3), part(_YEAR_FIRST, 4)))
-        .when(
-            text.rlike(_YEAR_FIRST_CLOCK),
-            _iso(part(_YEAR_FIRST_CLOCK, 1), part(_YEAR_FIRST_CLOCK, 2), part(_YEAR_FIRST_CLOCK, 3)),
+
+    def read(text: Column) -> Column:
+        serial = F.translate(text, ",", ".").try_cast("double")
+        pieces = lambda use: let(F.split(text, "[/. -]"), lambda p: use(*[F.get(p, F.lit(i)) for i in range(3)]))
+        year_first = text.rlike(_YEAR_FIRST) | text.rlike(_YEAR_FIRST_CLOCK)
+        return (
+            F.when(text.rlike(r"^[0-9]+(?:[.,][0-9]+)?$"), excel_serial(serial))
+            .when(text.rlike(_DAY_FIRST), pieces(lambda d, m, y: _iso(_full_year(y), m, d)))
+            .when(text.rlike(_ISO), F.when(~F.startswith(text, F.lit("0000")), F.substring(text, 1, 10).try_cast("date")))
+            .when(year_first, pieces(_iso))
         )
-    )
+
+    return let(squeeze(value), read)
 
 
 def day(value, dtype: str) -> Column:
@@ -195,14 +201,20 @@ def day(value, dtype: str) -> Column:
 
 
 def date_token(token) -> Column:
-    """Eight digits, ``yyyyMMdd`` or ``ddMMyyyy``, in the plausible years."""
+    """Eight digits, ``yyyyMMdd`` or ``ddMMyyyy``, in the plausible years.
+
+    Digits that start like a year are only tried as a year.
+    """
     token = _c(token)
-    first, last = fx.FEED_YEARS
+    first, last = map(str, fx.FEED_YEARS)
     piece = lambda start, n: F.substring(token, start, n)
-    read = F.when(
-        piece(1, 2).isin("19", "20"), _iso(piece(1, 4), piece(5, 2), piece(7, 2))
-    ).when(piece(5, 2).isin("19", "20"), _iso(piece(5, 4), piece(3, 2), piece(1, 2)))
-    return F.when((F.length(token) == 8) & F.year(read).between(first, last), read)
+    in_range = lambda year, read: F.when(year.between(first, last), read)
+    return F.when(
+        F.length(token) == 8,
+        F.when(piece(1, 2).isin("19", "20"), in_range(piece(1, 4), _iso(piece(1, 4), piece(5, 2), piece(7, 2)))).when(
+            piece(5, 2).isin("19", "20"), in_range(piece(5, 4), _iso(piece(5, 4), piece(3, 2), piece(1, 2)))
+        ),
+    )
 
 
 def table_date(value) -> Column:

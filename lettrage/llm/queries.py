@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lettrage.llm import chat_format, line_dedup
-from lettrage.llm.shared import documents
+from lettrage.llm import chat_format, line_dedup, pii, secret_scan
+from lettrage.llm.shared import documents, shared_folder
+from lettrage.llm.spans import joined
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,3 +75,27 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(table(spark, sf, "documents"))
     kept = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs))
     return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def span_counts(kinds: tuple[str, ...]) -> list:
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return [count(k) for k in kinds]
+
+
+@query("op2_pii")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.find_pii(documents(table(spark, sf, "documents")))
+    return found.select("doc_id", *span_counts(pii.KINDS), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+@query("op4_secret_scan")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(table(spark, sf, "documents"))
+    found = secret_scan.scan(docs.select(F.col("doc_id").alias("path"), "text"), shared_folder(spark, "blob-ledger"))
+    kinds = tuple(r.name for r in secret_scan.BASE)
+    rows = found.select(F.col("path").alias("doc_id"), "findings", F.filter("findings", lambda s: s["kind"].isin(*kinds)).alias("base"))
+    return rows.select(
+        "doc_id", *span_counts(kinds), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("findings")).alias("spans")
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lettrage.llm import chat_format, line_dedup, pii, secret_scan
+from lettrage.llm import chat_format, language, line_dedup, packing, pii, secret_scan, token_files
 from lettrage.llm.shared import documents, shared_folder
 from lettrage.llm.spans import joined
 
@@ -99,3 +99,21 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(
         "doc_id", *span_counts(kinds), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("findings")).alias("spans")
     )
+
+
+@query("op3_token_files")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf, "documents"))
+
+
+@query("op7_packing")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents"))
+
+
+@query("op8_language")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    filters = language.fit(docs.filter(~language.held_out()))
+    judged = language.predict(docs, filters)
+    return judged.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lettrage.llm import chat_format, language, line_dedup, packing, pii, secret_scan, token_files
+from lettrage.llm import chat_format, decontaminate, language, line_dedup, packing, pii, secret_scan, token_files
 from lettrage.llm.shared import documents, shared_folder
 from lettrage.llm.spans import joined
 
@@ -117,3 +117,8 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     filters = language.fit(docs.filter(~language.held_out()))
     judged = language.predict(docs, filters)
     return judged.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op9_decontaminate")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))

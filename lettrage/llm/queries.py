@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lettrage.llm import chat_format, decontaminate, language, line_dedup, packing, pii, secret_scan, token_files
+from lettrage.llm import chat_format, decontaminate, jaccard_join, language, line_dedup, packing, pii, secret_scan, token_files
 from lettrage.llm.shared import documents, shared_folder
 from lettrage.llm.spans import joined
 
@@ -122,3 +122,27 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_decontaminate")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+GROUPS_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), w -> w <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' ')) END) AS s FROM worded),
+sized AS (SELECT doc_id, len(s) AS n, s FROM sets),
+spread AS (SELECT doc_id, n, unnest(s) AS shingle FROM sized),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, x.n AS na, y.n AS nb, count(*) AS common
+  FROM spread x JOIN spread y ON x.shingle = y.shingle AND x.doc_id < y.doc_id AND 100 * x.n >= 85 * y.n AND 100 * y.n >= 85 * x.n
+  GROUP BY ALL),
+links AS (SELECT a, b FROM pairs WHERE 100 * common >= 85 * (na + nb - common)),
+ties AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT doc_id, doc_id FROM sized UNION SELECT r.a, t.b FROM reach r JOIN ties t ON r.b = t.a)
+SELECT s.doc_id, s.n AS n_shingles, min(r.b) AS component_id FROM sized s JOIN reach r ON s.doc_id = r.a GROUP BY ALL"""
+
+
+@query("op6_jaccard_join", GROUPS_SQL)
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.similar_groups(table(spark, sf, "documents"))

@@ -148,7 +148,7 @@ def fit(docs: DataFrame, label: str = "lang", sample: int = SAMPLE) -> Filters:
 
 
 def predict(docs: DataFrame, filters: Filters) -> DataFrame:
-    """``doc_id, lang_pred, score, known``: ``score`` is the language's share of the corrected counts of all languages,
+    """``doc_id, body, lang_pred, score, known``: ``body`` is the text's hash, ``score`` is the language's share of the corrected counts of all languages,
     ``known`` the share of the text's windows that the language's filter holds, corrected."""
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
@@ -156,7 +156,7 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
         import pyarrow as pa
 
         model = shared.value
-        for part in chunks(batches, "lowered", "doc_id", "lettered"):
+        for part in chunks(batches, "lowered", "doc_id", "lettered", "body"):
             if model.languages:
                 sizes, counts = model.count([r[0] or b"" for r in part])
             else:
@@ -169,12 +169,15 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
                 names.append(model.languages[at if total > 0 else model.fallback] if lettered else UNKNOWN)
             lost = np.array([n == UNKNOWN for n in names])
             yield pa.RecordBatch.from_arrays([
-                pa.array([r[1] for r in part], pa.int64()), pa.array(names, pa.string()), pa.array(np.where(lost, 0.0, scores)),
+                pa.array([r[1] for r in part], pa.int64()), pa.array([r[3] for r in part], pa.int64()), pa.array(names, pa.string()), pa.array(np.where(lost, 0.0, scores)),
                 pa.array(np.where(lost, 0.0, np.minimum(top / np.maximum(sizes, 1), 1.0))),
-            ], ["doc_id", "lang_pred", "score", "known"])
+            ], ["doc_id", "body", "lang_pred", "score", "known"])
 
-    texts = lowered(docs, F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
-    return texts.mapInArrow(judge, "doc_id bigint, lang_pred string, score double, known double")
+    texts = lowered(
+        docs, F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("body"),
+    )
+    return texts.mapInArrow(judge, "doc_id bigint, body bigint, lang_pred string, score double, known double")
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lettrage.llm import chat_format, decontaminate, jaccard_join, language, line_dedup, packing, pii, secret_scan, token_files
+from lettrage.llm import chat_format, decontaminate, jaccard_join, language, line_dedup, neighbours, packing, pii, secret_scan, token_files
 from lettrage.llm.shared import documents, shared_folder
 from lettrage.llm.spans import joined
 
@@ -146,3 +146,8 @@ SELECT s.doc_id, s.n AS n_shingles, min(r.b) AS component_id FROM sized s JOIN r
 @query("op6_jaccard_join", GROUPS_SQL)
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.similar_groups(table(spark, sf, "documents"))
+
+
+@query("op5_neighbours")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.search(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)

@@ -32,6 +32,22 @@ def documents(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+#: Up to so many keys, 16 bytes each, are broadcast to leave documents out; more are joined by shuffle.
+BROADCAST_KEYS = 1_000_000
+
+
+def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The documents, all columns, but for those in ``rejected``: by ``doc_id``, null included, and by ``body``, the hash of
+    the text, if that is a column of it. With few rejected rows, their number being counted, no text is shuffled."""
+    keys = stored(rejected.select(*[F.col(c).alias(f"rejected_{c}") for c in rejected.columns]).distinct(), "rejected")
+    if keys.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    same = docs["doc_id"].cast("bigint").eqNullSafe(F.col("rejected_doc_id"))
+    if "body" in rejected.columns:
+        same = same & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("rejected_body"))
+    return docs.join(keys, same, "left_anti")
+
+
 def prefix_sums(lengths: Column, block: int = 256) -> Column:
     """Running sums of an array of numbers, in blocks, so that long arrays cost little more than their length."""
     first = F.array(F.lit(0).cast("bigint"))

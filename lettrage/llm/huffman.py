@@ -79,16 +79,26 @@ class Code:
         size = (int(ends[-1]) + 7) // 8 if len(ids) else 0
         return high.astype(">u4").tobytes()[:size], starts[::every]
 
-    def decode(self, stream: bytes, offsets: np.ndarray, n: int, every: int) -> np.ndarray:
-        """The ``n`` ids; all runs between checkpoints are decoded side by side, one id of each in a step."""
-        padded = np.frombuffer(stream + bytes(8), dtype=np.uint8).astype(np.uint32)
+    def decode(self, streams: bytes, offsets: np.ndarray, sizes: np.ndarray, counts: np.ndarray, every: int) -> np.ndarray:
+        """The ids of streams one after another, each of ``sizes`` bytes and ``counts`` ids, with the offsets within
+        each. All runs between checkpoints are decoded side by side, one id of each in a step."""
+        runs = -(-counts // every)
+        if not runs.sum():
+            return np.zeros(0, dtype=np.uint32)
+        padded = np.frombuffer(streams + bytes(3), dtype=np.uint8).astype(np.uint32)
         window = (padded[:-2] << 16) | (padded[1:-1] << 8) | padded[2:]
-        out = np.zeros((len(offsets), every), dtype=np.uint32)
-        at = offsets.astype(np.int64).copy()
-        last = len(window) * 8 - 8
-        for step in range(min(every, n)):
-            live = np.minimum(at, last)
-            bits = (window[live >> 3] >> (8 - (live & 7)).astype(np.uint32)) & 0xFFFF
-            out[:, step] = self.symbols[bits]
-            at += self.widths[bits]
-        return out.reshape(-1)[:n] if len(offsets) else np.zeros(0, dtype=np.uint32)
+        begins = np.cumsum(sizes) - sizes
+        at = np.repeat(begins * 8, runs) + offsets
+        lengths = np.full(len(at), every)
+        lengths[np.cumsum(runs)[runs > 0] - 1] = (counts - (runs - 1) * every)[runs > 0]
+        order = np.argsort(-lengths, kind="stable")  # runs that end early are at the end, and drop out
+        at, live = at[order], np.searchsorted(-lengths[order], -np.arange(every), side="left")
+        out = np.zeros((len(at), every), dtype=np.uint32)
+        for step in range(every):
+            part = at[: live[step]]
+            bits = (window[part >> 3] >> (8 - (part & 7)).astype(np.uint32)) & 0xFFFF
+            out[: live[step], step] = self.symbols[bits]
+            part += self.widths[bits]
+        back = np.empty_like(out)
+        back[order] = out
+        return back[np.arange(every) < lengths[:, None]]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lettrage.llm.shared import documents, stored
-from lettrage.llm.tokens import Pieces, default_vocabulary, texts
+from lettrage.llm.tokens import default_vocabulary, encoded
 
 SIZE = 2048
 PARTS = 64
@@ -32,18 +32,17 @@ def cut(docs: DataFrame, path: str | None = None, size: int = SIZE) -> DataFrame
     """``doc_id, start, length, ids_crc32, doc_tokens`` of every piece."""
     path = path or default_vocabulary()
 
-    def pieces_of(batches):
+    def cut_up(batches):
         import pyarrow as pa
 
-        pieces, rows = Pieces(path), []
+        rows = []
         names = [c.split()[0] for c in PIECES.split(", ")]
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
 
         def made():
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-        for doc_id, text in texts(batches, "doc_id", "text"):
-            ids = pieces.encode(text)
+        for doc_id, ids in encoded(batches, path):
             total = len(ids) // 4
             for start in range(0, total, size):
                 part = ids[4 * start : 4 * (start + size)]
@@ -54,7 +53,7 @@ def cut(docs: DataFrame, path: str | None = None, size: int = SIZE) -> DataFrame
         if rows:
             yield made()
 
-    return documents(docs).mapInArrow(pieces_of, PIECES)
+    return documents(docs).mapInArrow(cut_up, PIECES)
 
 
 def shortest_pack_first(histogram: dict[int, int], size: int = SIZE) -> list[tuple[list[int], int]]:

@@ -1,10 +1,12 @@
 """Token-id files: ids in ascending document order, coded with one canonical Huffman code of the whole corpus.
 
-1. Every task counts its ids; the sum, one row per id of the vocabulary, gives code lengths of at most 16 bits.
-2. Documents are range-partitioned by id and sorted; every partition tokenises, codes and writes its blocks. A block ends
-   after the document with which it reaches ``BLOCK`` ids, and holds the coded bits, the ids of its documents, their
-   token counts and a bit offset every ``EVERY`` ids. The code lengths are stored once beside the blocks.
-3. Blocks are decoded independently by table, all runs between checkpoints of a block at once.
+1. Documents are tokenised once; their ids, compressed, go to a table in the shared folder.
+2. Every task counts its ids; the sum, one row per id of the vocabulary, gives code lengths of at most 16 bits.
+3. Each document's ids are coded, with a bit offset every ``EVERY`` ids. Coded documents are range-partitioned by id and
+   sorted, and every partition writes its blocks. A block ends after the document with which it reaches ``BLOCK`` ids,
+   and holds the bit streams, each from a byte's begin, and ids, token counts, stream lengths and offsets of its documents.
+   The code lengths are stored once beside the blocks.
+4. Blocks are decoded independently by table, all runs between checkpoints of a block at once.
 
 The files are Parquet with one row per block, so any store that Spark writes will do, and a repeated task leaves no trace.
 
@@ -21,82 +23,130 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lettrage.llm import huffman
-from lettrage.llm.shared import documents, shared_folder
-from lettrage.llm.tokens import Pieces, default_vocabulary, texts, vocabulary_size
+from lettrage.llm.shared import documents, shared_folder, stored
+from lettrage.llm.tokens import default_vocabulary, encoded, vocabulary_size
 
 BLOCK = 1 << 16
 EVERY = 64
+IDS = "doc_id bigint, tie bigint, n bigint, ids binary"
+CODED = "doc_id bigint, tie bigint, n bigint, offsets binary, bits binary"
 BLOCKS = (
-    "shard int, block int, n_tokens bigint, doc_ids array<bigint>, counts array<bigint>, offsets array<bigint>, bits binary"
+    "shard int, block int, n_tokens bigint, doc_ids array<bigint>, counts array<bigint>, sizes array<bigint>, offsets binary, bits binary"
 )
 ROWS = "shard int, block int, doc_id bigint, before bigint, n_tokens bigint, ids_crc32 bigint"
 
 
-def id_counts(docs: DataFrame, path: str) -> np.ndarray:
-    """How often each id occurs in the whole corpus: one sum per id of the vocabulary."""
-    size = vocabulary_size(path)
+def batch_of(schema: str, columns):
+    """A record batch of Python columns, with the names and types of the schema."""
+    import pyarrow as pa
 
-    def count(batches):
-        import pyarrow as pa
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[kind]) for c, (_, kind) in zip(columns, fields)], [name for name, _ in fields])
+
+
+def in_batches(rows, schema: str, most: int = 1 << 22):
+    """Record batches of rows whose last column holds about ``most`` bytes."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[-1])
+        if size >= most or len(held) >= 5000:
+            yield batch_of(schema, zip(*held))
+            held, size = [], 0
+    if held:
+        yield batch_of(schema, zip(*held))
+
+
+def tokenised(docs: DataFrame, path: str) -> DataFrame:
+    """``doc_id, tie, n, ids``: 16-bit ids, or 32-bit ones for a larger vocabulary, in zlib's fastest form."""
+    kind = "<u2" if vocabulary_size(path) <= 1 << 16 else "<u4"
 
-        pieces, total, held = Pieces(path), np.zeros(size, dtype=np.int64), []
+    def read(batches):
+        def rows():
+            for batch in batches:
+                ties = iter(batch.column(2).to_pylist())
+                for (doc_id, ids), tie in zip(encoded([batch], path), ties):
+                    yield doc_id, tie, len(ids) // 4, zlib.compress(np.frombuffer(ids, dtype="<u4").astype(kind).tobytes(), 1)
 
-        def flush():
-            total[:] += np.bincount(np.frombuffer(b"".join(held), dtype="<u4"), minlength=size)
-            held.clear()
+        yield from in_batches(rows(), IDS)
 
-        for (text,) in texts(batches, "text"):
-            held.append(pieces.encode(text))
-            if len(held) >= 1000:
-                flush()
-        flush()
+    return documents(docs).withColumn("tie", F.xxhash64("text")).mapInArrow(read, IDS)
+
+
+def unpacked(ids: bytes, n: int) -> np.ndarray:
+    raw = zlib.decompress(ids)
+    return np.frombuffer(raw, dtype="<u2" if len(raw) == 2 * n else "<u4")
+
+
+def id_counts(tokens: DataFrame, size: int) -> np.ndarray:
+    """How often each id occurs in the whole corpus: one sum per id of the vocabulary."""
+    def count(batches):
+        total = np.zeros(size, dtype=np.int64)
+        for batch in batches:
+            for n, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                got = unpacked(ids, n)
+                if n > 10_000:
+                    total += np.bincount(got, minlength=size)
+                else:
+                    np.add.at(total, got, 1)
         found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"id": found.astype(np.int32), "n": total[found]})
+        yield batch_of("id int, n bigint", (found, total[found]))
 
-    rows = docs.select("text").mapInArrow(count, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = tokens.select("n", "ids").mapInArrow(count, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(size, dtype=np.int64)
     for r in rows:
         counts[r["id"]] = r["n"]
     return counts
 
 
+def coded(tokens: DataFrame, lengths: np.ndarray) -> DataFrame:
+    """``doc_id, tie, n, offsets, bits`` of every document."""
+    def code_up(batches):
+        code = huffman.Code.canonical(lengths)
+
+        def rows():
+            for batch in batches:
+                for doc_id, tie, n, ids in zip(*[c.to_pylist() for c in batch.columns]):
+                    bits, offsets = code.encode(unpacked(ids, n), EVERY)
+                    yield doc_id, tie, n, offsets.astype("<u4").tobytes(), bits
+
+        yield from in_batches(rows(), CODED)
+
+    return tokens.mapInArrow(code_up, CODED)
+
+
 def write(docs: DataFrame, folder: str, path: str | None = None) -> None:
     """Code the documents into ``folder``/blocks, and the code lengths into ``folder``/code."""
     path = path or default_vocabulary()
-    docs = documents(docs)
     spark = docs.sparkSession
-    lengths = huffman.code_lengths(id_counts(docs, path))
+    tokens = stored(tokenised(docs, path), "token-ids")
+    lengths = huffman.code_lengths(id_counts(tokens, vocabulary_size(path)))
     spark.createDataFrame([(lengths.tobytes(),)], "lengths binary").coalesce(1).write.parquet(f"{folder}/code")
 
-    def encode(batches):
-        import pyarrow as pa
+    def assemble(batches):
         from pyspark import TaskContext
 
-        shard, number = TaskContext.get().partitionId(), 0
-        pieces, code = Pieces(path), huffman.Code.canonical(lengths)
-        ids, doc_ids, counts, held = [], [], [], 0
-
-        def block():
-            bits, offsets = code.encode(np.frombuffer(b"".join(ids), dtype="<u4"), EVERY)
-            row = [[shard], [number], [held], [doc_ids], [counts], [offsets], [bits]]
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
-            names = [c.split()[0] for c in BLOCKS.split(", ")]
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names)
-
-        for doc_id, text in texts(batches, "doc_id", "text"):
-            ids.append(pieces.encode(text))
-            doc_ids.append(doc_id)
-            counts.append(len(ids[-1]) // 4)
-            held += counts[-1]
-            if held >= BLOCK:
-                yield block()
-                ids, doc_ids, counts, held, number = [], [], [], 0, number + 1
-        if doc_ids:
-            yield block()
-
-    hashed = docs.withColumn("tie", F.xxhash64("text"))
-    ordered = hashed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    ordered.mapInArrow(encode, BLOCKS).write.parquet(f"{folder}/blocks")
+        def rows():
+            shard, number, held, total = TaskContext.get().partitionId(), 0, [], 0
+            for batch in batches:
+                for row in zip(*[c.to_pylist() for c in batch.columns]):
+                    held.append(row)
+                    total += row[1]
+                    if total >= BLOCK:
+                        yield block(shard, number, total, held)
+                        number, held, total = number + 1, [], 0
+            if held:
+                yield block(shard, number, total, held)
+
+        def block(shard, number, total, held):
+            doc_ids, counts, offsets, bits = zip(*held)
+            return shard, number, total, list(doc_ids), list(counts), [len(b) for b in bits], b"".join(offsets), b"".join(bits)
+
+        yield from in_batches(rows(), BLOCKS)
+
+    ordered = coded(tokens, lengths).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    ordered.select("doc_id", "n", "offsets", "bits").mapInArrow(assemble, BLOCKS).write.parquet(f"{folder}/blocks")
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
@@ -105,21 +155,15 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     blocks = spark.read.schema(BLOCKS).parquet(f"{folder}/blocks")
 
     def decode(batches):
-        import pyarrow as pa
-
         code = huffman.Code.canonical(lengths)
         for batch in batches:
             for row in range(batch.num_rows):
-                shard, number, n, doc_ids, counts, offsets, bits = (batch.column(c)[row] for c in range(7))
-                ids = code.decode(bits.as_py(), np.array(offsets.values), n.as_py(), EVERY).astype("<u4")
-                counts = np.array(counts.values)
+                shard, number, _, doc_ids, counts, sizes, offsets, bits = (c[row].as_py() for c in batch.columns)
+                ids = code.decode(bits, np.frombuffer(offsets, dtype="<u4"), np.array(sizes), np.array(counts), EVERY).astype("<u4")
                 ends = np.cumsum(counts)
-                sums = [zlib.crc32(ids[e - c : e].tobytes()) for c, e in zip(counts.tolist(), ends.tolist())]
+                sums = [zlib.crc32(ids[e - c : e].tobytes()) for c, e in zip(counts, ends.tolist())]
                 size = len(counts)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(size, shard.as_py(), dtype=np.int32)), pa.array(np.full(size, number.as_py(), dtype=np.int32)),
-                    doc_ids.values, pa.array(ends - counts), pa.array(counts), pa.array(sums, pa.int64()),
-                ], [c.split()[0] for c in ROWS.split(", ")])
+                yield batch_of(ROWS, ([shard] * size, [number] * size, doc_ids, ends - counts, counts, sums))
 
     within = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     sizes = blocks.select("shard", "block", "n_tokens")

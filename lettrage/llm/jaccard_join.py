@@ -31,7 +31,11 @@ WIDTH, PERCENT = 4, 85
 FREQUENT = 1 << 16
 #: Hashes counted at once when repeated shingles are looked for, and the local count from which one is reported.
 COUNTED, REPEATED = 1 << 21, 3
-LIST_BLOCK = 256
+#: Lists of up to so many entries are compared all at once; longer ones in blocks.
+SHORT, LIST_BLOCK = 12, 256
+#: Entries held before their lists are compared.
+TOGETHER = 200_000
+BROADCAST_IDS = 1_000_000
 MULTIPLIER, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 SETS = "doc_id bigint, n int, s1 bigint, s2 bigint, parity binary, token bigint, repeats bigint"
 ENTRIES = "token bigint, n int, pos int, id bigint"
@@ -189,8 +193,9 @@ def prefixes(docs: DataFrame, order: Order, width: int, percent: int) -> DataFra
     return encoded(docs.filter(F.col("doc_id").isNotNull())).mapInArrow(read, ENTRIES)
 
 
-def whole_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """``id, n, hashes`` of the documents whose id is in ``ids``."""
+def whole_sets(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """``id, n, hashes`` of the documents in the pairs (a, b). Up to ``BROADCAST_IDS`` ids, counted first, are broadcast, so
+    that only the texts of these documents go further; more ids meet the texts by shuffle."""
     def read(batches):
         import pyarrow as pa
 
@@ -205,12 +210,14 @@ def whole_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
                     pa.ListArray.from_arrays(pa.array(lengths.astype(np.int32)), values),
                 ], ["id", "n", "hashes"])
 
-    wanted = encoded(docs).join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    return wanted.mapInArrow(read, "id bigint, n int, hashes array<bigint>").dropDuplicates(["id", "n", "hashes"])
+    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return encoded(docs).join(ids, "doc_id", "left_semi").mapInArrow(read, "id bigint, n int, hashes array<bigint>")
 
 
-def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b, na, nb, overlap`` of the pairs, counted on whole sets."""
+def overlaps(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """``a, b, na, nb, overlap`` of the pairs, counted on whole sets; rows that repeat a set count once."""
+    sets = stored(whole_sets(docs, pairs, width), "pair-sets").dropDuplicates(["id", "n", "hashes"])
     first = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("hashes").alias("ha"))
     second = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("hashes").alias("hb"))
     joined = pairs.select("a", "b").join(first, "a").join(second, "b")
@@ -222,77 +229,103 @@ def linked(percent: int):
 
 
 def to_pivots(lists: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: every set with the pivot it shares most lists with; the pivot is the first of its list and size class."""
+    """``a, b``: every set with the pivot it shares most lists with, where these are a quarter of its prefix at least; the
+    pivot is the first of its list and size class. Which pairs are tried here has no effect on the result."""
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))).cast("int")
     classed = lists.withColumn("size_class", size_class)
     first = Window.partitionBy("token", "size_class").orderBy("n", "id").rowsBetween(Window.unboundedPreceding, 0)
     tied = classed.withColumn("pivot", F.first("id").over(first)).filter("id <> pivot")
-    shared = tied.groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("shared"))
-    best = shared.groupBy("id").agg(F.max(F.struct("shared", (-F.col("pivot")).alias("back"), "pivot")).alias("best"))
+    shared = tied.groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n"))
+    likely = shared.filter(F.col("shared") * 400 >= F.col("n") * (100 - percent))
+    best = likely.groupBy("id").agg(F.max(F.struct("shared", (-F.col("pivot")).alias("back"), "pivot")).alias("best"))
     return best.select(F.col("id").alias("a"), F.col("best.pivot").alias("b"))
 
 
+class Lists:
+    """Consecutive inverted lists as columns, sorted by token, then size, and the pairs within them that stay open."""
+
+    def __init__(self, columns: list[np.ndarray], percent: int):
+        self.token, self.n, self.pos, self.ids, self.comp, self.pivot, self.pivot_n, self.known, self.mixed, self.bits = columns
+        self.percent = percent
+
+    def open_pairs(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the entries x and y the pairs that no bound rules out, and whether what is known proves their link."""
+        na, nb, pa, pb = self.n[x], self.n[y], self.pos[x], self.pos[y]
+        need = needed(na, nb, self.percent)
+        most = np.minimum(pa, pb) + np.minimum(na - pa, nb - pb)
+        keep = (self.comp[x] != self.comp[y]) & (most >= need)
+        x, y, need = x[keep], y[keep], need[keep]
+        differing = np.bitwise_count(self.bits[x] ^ self.bits[y]).sum(1).astype(np.int64)
+        keep = (self.n[x] + self.n[y] - np.where(self.mixed[x] + self.mixed[y] > 0, 0, differing)) // 2 >= need
+        x, y, need = x[keep], y[keep], need[keep]
+        kx, ky = self.known[x], self.known[y]
+        both = (self.pivot[x] == self.pivot[y]) & (kx >= 0) & (ky >= 0)
+        most = np.minimum(kx, ky) + np.minimum(self.n[x] - kx, self.n[y] - ky)
+        sure = both & (kx + ky - self.pivot_n[x] >= need)
+        keep = ~both | (most >= need)
+        return x[keep], y[keep], sure[keep]
+
+    def found(self):
+        edges = np.flatnonzero(np.concatenate([[True], self.token[1:] != self.token[:-1], [True]]))
+        sizes = np.diff(edges)
+        size_of, left = np.repeat(sizes, sizes), np.repeat(edges[1:], sizes) - np.arange(len(self.token)) - 1
+        for step in range(1, SHORT):  # all short lists at once, by distance between entries
+            x = np.flatnonzero((size_of <= SHORT) & (left >= step))
+            if not len(x):
+                break
+            yield self.open_pairs(x, x + step)
+        for begin, size in zip(edges[:-1][sizes > SHORT].tolist(), sizes[sizes > SHORT].tolist()):
+            yield from self.of_long_list(begin, begin + size)
+
+    def of_long_list(self, begin: int, end: int):
+        """Block by block: blocks are passed over where sizes are too far apart, positions too late, or components one."""
+        comps = self.comp[begin:end]
+        if (comps == comps[0]).all():
+            return
+        blocks = [(k, min(k + LIST_BLOCK, end)) for k in range(begin, end, LIST_BLOCK)]
+        for number, (i, i_end) in enumerate(blocks):
+            rest = (self.n[i:i_end] - self.pos[i:i_end]).max()
+            for j, j_end in blocks[number:]:
+                if self.n[j] * self.percent > 100 * self.n[i_end - 1]:
+                    break  # sizes only grow from here on
+                if min(self.pos[i:i_end].max(), self.pos[j:j_end].max()) + rest < needed(self.n[i], self.n[j], self.percent):
+                    continue
+                apart = self.comp[i:i_end, None] != self.comp[None, j:j_end]
+                if i == j:
+                    apart = np.triu(apart, 1)
+                x, y = np.nonzero(apart)
+                if len(x):
+                    yield self.open_pairs(x + i, y + j)
+
+
 def unconnected_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """``a, b, sure``: pairs of sets in different components that share a list and that no bound rules out; ``sure`` pairs
     link by what is known of their common pivot. Ids with several texts have no bounds (``known`` -1, ``mixed`` 1)."""
-    def pairs_of(n, pos, comp, pivot, pivot_n, known, mixed, bits, i: slice, j: slice):
-        na, nb = n[i, None], n[None, j]
-        need = needed(na, nb, percent)
-        most = np.minimum(pos[i, None], pos[None, j]) + 1 + np.minimum(na - pos[i, None], nb - pos[None, j]) - 1
-        open_ = (comp[i, None] != comp[None, j]) & (most >= need) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
-        if i == j:
-            open_ = np.triu(open_, 1)
-        if not open_.any():
-            return None
-        x, y = np.nonzero(open_)
-        x, y = x + i.start, y + j.start
-        need = needed(n[x], n[y], percent)
-        differing = np.bitwise_count(bits[x] ^ bits[y]).sum(1).astype(np.int64)
-        most = (n[x] + n[y] - np.where(mixed[x] + mixed[y] > 0, 0, differing)) // 2
-        both = (pivot[x] == pivot[y]) & (known[x] >= 0) & (known[y] >= 0)
-        own = np.minimum(known[x], known[y]) + np.minimum(n[x] - known[x], n[y] - known[y])
-        most = np.where(both, np.minimum(most, own), most)
-        sure = both & (known[x] + known[y] - pivot_n[x] >= need)
-        keep = most >= need
-        return x[keep], y[keep], sure[keep]
-
     def read(batches):
         import pyarrow as pa
 
         def finish(parts):
-            columns = [np.concatenate(c) for c in zip(*parts)]
-            token, n, pos, ids, comp, *more = columns
-            edges = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
-            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                if hi - lo < 2 or (comp[lo:hi] == comp[lo]).all():
-                    continue
-                own = [c[lo:hi] for c in (n, pos, comp, *more)]
-                size = hi - lo
-                blocks = [slice(k, min(k + LIST_BLOCK, size)) for k in range(0, size, LIST_BLOCK)]
-                for k, i in enumerate(blocks):
-                    for j in blocks[k:]:
-                        if own[0][j.start] * percent > 100 * own[0][i.stop - 1]:
-                            break  # sizes only grow from here on
-                        got = pairs_of(*own, i, j)
-                        if got is not None and len(got[0]):
-                            a, b = ids[lo:hi][got[0]], ids[lo:hi][got[1]]
-                            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(got[2])], ["a", "b", "sure"])
+            lists = Lists([np.concatenate(c) for c in zip(*parts)], percent)
+            for x, y, sure in lists.found():
+                a, b = lists.ids[x], lists.ids[y]
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(sure)], ["a", "b", "sure"])
 
         held: list = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:-1]]
+            columns = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns[:-1]]
             bits = np.frombuffer(b"".join(batch.columns[-1].to_pylist()), dtype=np.uint64).reshape(-1, 4)
-            part = [*[c.astype(np.int64) for c in columns], bits]
-            if held and held[-1][0][-1] != part[0][0]:
-                yield from finish(held)
-                held = []
-            last = int(np.searchsorted(part[0], part[0][-1])) if part[0][0] != part[0][-1] else 0
-            if last:  # the last list may go on in the next batch
-                yield from finish([*held, [c[:last] for c in part]])
-                held = []
-            held.append([c[last:] for c in part])
+            held.append([*columns, bits])
+            if sum(len(p[0]) for p in held) < TOGETHER:
+                continue
+            last = held[-1][0][-1]  # this list may go on in the next batch
+            ready = [[c[: np.searchsorted(p[0], last)] for c in p] if p[0][-1] == last else p for p in held]
+            held = [[c[np.searchsorted(p[0], last):] for c in p] for p in held if p[0][-1] == last]
+            ready = [p for p in ready if len(p[0])]
+            if ready:
+                yield from finish(ready)
         if held:
             yield from finish(held)
 
@@ -316,8 +349,7 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     entries = prefixes(docs, order, width, percent).repartition("token")
     lists = entries.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("held > 1").drop("held")
     lists = stored(lists, "lists")
-    candidates = stored(whole_sets(docs, lists.select("id").distinct(), width), "candidate-sets")
-    first = stored(overlaps(to_pivots(lists, percent), candidates), "pivot-answers")
+    first = stored(overlaps(stored(to_pivots(lists, percent), "pivots"), docs, width), "pivot-answers")
     copies = stored(copies, "copies")
     links = copies.unionByName(first.filter(linked(percent)).select("a", "b"))
     near = components(links)
@@ -335,7 +367,7 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
                 F.when((F.col("answers") == 1) & (F.col("mixed") == 0), F.col("known")).otherwise(-1).alias("known"), "mixed", "parity")
     )
     open_pairs = stored(unconnected_pairs(listed, percent), "open-pairs")
-    second = overlaps(open_pairs.filter("not sure"), candidates).filter(linked(percent)).select("a", "b")
+    second = overlaps(open_pairs.filter("not sure"), docs, width).filter(linked(percent)).select("a", "b")
     found = components(links.unionByName(second).unionByName(open_pairs.filter("sure").select("a", "b")))
     return sets.join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select(
         "doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")

@@ -44,6 +44,8 @@ def test_copies_chains_and_defined_cases(spark, monkeypatch):
     rows += [(7, rows[20][1]), (7, rows[40][1]), (500, rows[20][1]), (500, rows[20][1])]
     docs = spark.createDataFrame([(d, t, 1, "q") for d, t in rows], "doc_id long, text string, token int, parity string").repartition(5)
     monkeypatch.setattr(jaccard_join, "LIST_BLOCK", 4)
+    monkeypatch.setattr(jaccard_join, "SHORT", 3)
+    monkeypatch.setattr(jaccard_join, "TOGETHER", 50)
     for width, percent in ((4, 85), (5, 80)):
         want = brute(rows, width, percent)
         assert groups(docs, width, percent) == want
@@ -67,3 +69,23 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 200: 0, 100: 100, 101: 100, 102: 100}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_open_pairs_against_all_pairs(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SHORT", 3)
+    monkeypatch.setattr(jaccard_join, "LIST_BLOCK", 4)
+    rng = np.random.default_rng(7)
+    order, columns, sets = jaccard_join.Order.of([]), [], []
+    for i in range(60):
+        base = np.arange(100, dtype=np.uint64) * np.uint64(3) if i % 3 else np.arange(90, 200, dtype=np.uint64) * np.uint64(3)
+        kept = base[rng.random(len(base)) < (0.98 if i % 2 else 0.9)]
+        sets.append(np.unique(np.concatenate([kept, rng.integers(700, 900, 3).astype(np.uint64)])))
+        prefix = order.prefix(sets[-1], 85)
+        columns += [(int(t), len(sets[-1]), p, i, i, 0, 0, -1, 0, jaccard_join.parity(sets[-1])) for p, t in enumerate(prefix)]
+    columns.sort(key=lambda r: (r[0], r[1], r[3]))
+    arrays = [np.array([r[k] for r in columns], dtype=np.int64) for k in range(9)]
+    arrays.append(np.frombuffer(b"".join(r[9] for r in columns), dtype=np.uint64).reshape(-1, 4))
+    lists = jaccard_join.Lists(arrays, 85)
+    got = {(min(a, b), max(a, b)) for x, y, _ in lists.found() for a, b in zip(lists.ids[x].tolist(), lists.ids[y].tolist())}
+    want = {(i, j) for i in range(60) for j in range(i + 1, 60) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))}
+    assert len(want) > 50 and want <= got

@@ -17,16 +17,34 @@ from .sql import BASE, RAW, SOURCES, french, recon, with_
 # ---------------------------------------------------------------- files
 
 
+# names with doubled quotes, delimiters and line ends; files of one name in two folders, with other column orders and
+# rows wider than their titles
 @query("scan_delimited", with_(RAW, """
-  SELECT k % 2 AS file, CAST(k AS VARCHAR) AS k, facture, date_text, montant, nom FROM raw"""))
+  SELECT k % 4 AS file, CAST(k AS VARCHAR) AS k, facture, date_text, montant,
+    nom || CASE k % 5 WHEN 0 THEN ' "A;B", ""' WHEN 1 THEN chr(10) || 'suite "fin' ELSE '' END AS nom,
+    CASE WHEN k % 4 = 3 AND k % 3 = 0 THEN 'plus' END AS extra FROM raw"""))
 def _(spark, sf):
-    folder = scratch(spark)
-    rows = v.erp_raw(spark, sf).select("k", "facture", "date_text", "montant", "nom")
+    folder, k = scratch(spark), F.col("k")
+    odd = F.when(k % 5 == 0, ' "A;B", ""').when(k % 5 == 1, '\nsuite "fin').otherwise("")
+    rows = v.erp_raw(spark, sf).select("k", "facture", "date_text", "montant", F.concat("nom", odd).alias("nom"))
+    exact = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     for i, (sep, encoding) in enumerate([(";", "UTF-8"), (",", "ISO-8859-1")]):
-        rows.filter(F.col("k") % 2 == i).write.options(sep=sep, encoding=encoding, header=True).csv(f"{folder}/{i}")
-    cells = text.read_delimited(spark, [f"{folder}/0", f"{folder}/1"]).filter("row_idx > 0")
-    shown = [F.get("cells", F.lit(i)).alias(c) for i, c in enumerate(rows.columns)]
-    return cells.select((F.get("cells", F.lit(0)).cast("bigint") % 2).alias("file"), *shown)
+        rows.filter(k % 4 == i).write.options(sep=sep, encoding=encoding, **exact).csv(f"{folder}/{i}")
+    orders = [["k", "facture", "date_text", "montant", "nom"], ["nom", "montant", "k", "facture", "date_text"]]
+    quoted = lambda c: F.coalesce(F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"')), F.lit(""))
+    for side, order in enumerate(orders):
+        wide = F.when((k % 3 == 0) & (k % 4 == 3), ";plus").otherwise("")
+        lines = rows.filter(k % 4 == 2 + side).select(F.concat(F.concat_ws(";", *[quoted(c) for c in order]), wide).alias("line"))
+        block = F.concat(F.lit(";".join(order) + "\n"), F.array_join(F.collect_list("line"), "\n"))
+        one = lines.groupBy().agg(block.alias("value")).withColumn("side", F.lit(side))
+        blocks = one if side == 0 else blocks.unionByName(one)
+    blocks.coalesce(1).write.partitionBy("side").text(f"{folder}/sides")
+    cells = text.read_delimited(spark, [f"{folder}/0", f"{folder}/1", f"{folder}/sides/side=0", f"{folder}/sides/side=1"])
+    cells = cells.filter("row_idx > 0").withColumn("turned", F.contains(F.col("source_path"), F.lit("/side=1/")))
+    at = lambda place: F.get("cells", F.lit(place))
+    shown = [F.when(F.col("turned"), at(orders[1].index(c))).otherwise(at(i)).alias(c) for i, c in enumerate(orders[0])]
+    named = cells.select(*shown, at(5).alias("extra"))
+    return named.withColumn("file", k.cast("bigint") % 4)
 
 
 _FEED = SOURCES + """,
@@ -196,7 +214,7 @@ query("column_scores", with_(SOURCES, f"""
   SELECT CASE v WHEN 0 THEN 'banque_a.csv' ELSE 'banque_b.xlsx' END AS source_file, CASE v WHEN 0 THEN 'CSV' ELSE 'Feuil1' END AS source_sheet,
     CAST(pos AS BIGINT) AS pos, count(*) AS sampled, CAST(sum(inv_s) AS BIGINT) AS invoice_score, CAST(sum(dat_s) AS BIGINT) AS date_score,
     CAST(sum(amt_s) AS BIGINT) AS amount_score, CAST(sum(dea_s) AS BIGINT) AS dealer_score FROM top WHERE n <= 50 GROUP BY v, pos"""))(
-    lambda spark, sf: sheets.column_scores(v.rci_sheets(spark, sf), "rci")
+    lambda spark, sf: sheets.column_scores(v.rci_sheets(spark, sf), "rci").drop("source_path")
 )
 
 query("erp_standardise", with_(_SHEETS, "SELECT * FROM std"))(
@@ -208,7 +226,7 @@ query("erp_standardise", with_(_SHEETS, "SELECT * FROM std"))(
 def _(spark, sf):
     rows = v.erp_sheets(spark, sf)
     bare = sheets.bare_rows(rows, sheets.alias_roles(rows, "erp"))
-    return bare.withColumn("id", F.col("row_ord.id")).drop("row_ord")
+    return bare.withColumn("id", F.col("row_ord.id")).drop("row_ord", "source_path")
 
 
 query("rci_standardise", with_(SOURCES, f"""
@@ -235,7 +253,7 @@ query("coverage_values", with_(_REF, """
 )
 query("header_row", with_(_REF, """
   SELECT source_file, source_sheet, CAST(CASE v WHEN 1 THEN 0 WHEN 2 THEN 1 END AS BIGINT) AS header_row FROM keys"""))(
-    lambda spark, sf: reference.header_rows(v.reference_sheets(spark, sf))
+    lambda spark, sf: reference.header_rows(v.reference_sheets(spark, sf)).drop("source_path")
 )
 
 
@@ -261,7 +279,7 @@ def _(spark, sf):
 query("reference_strategy", with_(_REF, """
   SELECT source_file, source_sheet, CASE v WHEN 1 THEN 'default_header' WHEN 2 THEN 'detected_header_row' WHEN 3 THEN 'single_text_column_raw'
     ELSE 'content_detection_default' END AS strategy, count(*) AS useful_rows FROM keys JOIN ref USING (v) GROUP BY ALL"""))(
-    lambda spark, sf: reference.useful_rows(v.reference_sheets(spark, sf))
+    lambda spark, sf: reference.useful_rows(v.reference_sheets(spark, sf)).drop("source_path")
 )
 query("reference_audit_rows", with_(_REF, """
   SELECT file AS source_file, sheet, c // 5 + CASE v WHEN 2 THEN 3 ELSE 2 END AS row_number,

@@ -35,6 +35,8 @@ def query(name: str, sql: str | None = None):
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder for files a query writes: under the cluster's shared folder, else a local one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """A new folder for files a query writes: under the cluster's shared folder; only a local session may use its own disk."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{shared or tempfile.mkdtemp(prefix='lettrage-')}/files-{uuid.uuid4().hex}"

@@ -235,26 +235,52 @@ def optional_text(value) -> Column:
     return F.nullif(text, F.lit(""))
 
 
-def _fold_pairs() -> tuple[str, str]:
-    """Latin letters and signs whose compatibility form is one plain character."""
-    source, target = [], []
-    for point in [*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2070), 0x3000]:
+def _folds() -> tuple[str, str, list[tuple[str, str]]]:
+    """How characters lose their marks and compatibility forms: one to one over all of Unicode but the composed Hangul
+    syllables, and the characters that become several."""
+    source, target, longer = [], [], []
+    for point in range(0xA0, 0x30000):
+        if 0xAC00 <= point < 0xE000:
+            continue
         char = chr(point)
-        plain = "".join(x for x in unicodedata.normalize("NFKD", char) if not unicodedata.combining(x))
-        if len(plain) == 1 and plain != char:
+        form = unicodedata.normalize("NFKD", char)
+        if form == char:
+            continue
+        plain = "".join(x for x in form if not unicodedata.combining(x))
+        if len(plain) == 1:
             source.append(char)
             target.append(plain)
-    return "".join(source), "".join(target)
+        elif plain and unicodedata.category(char).startswith("L"):
+            longer.append((char, plain))
+    return "".join(source), "".join(target), longer
 
 
-_FOLD_FROM, _FOLD_TO = _fold_pairs()
+def _combining() -> str:
+    """A pattern for runs of characters of which nothing is left without marks: those that change the one before them."""
+    points = {p for p in range(0x300, 0x30000) if all(map(unicodedata.combining, unicodedata.normalize("NFKD", chr(p))))}
+    starts = sorted(p for p in points if p - 1 not in points)
+    ends = sorted(p for p in points if p + 1 not in points)
+    return "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends)) + "]+"
+
+
+_COMBINING = _combining()
+_FOLD_FROM, _FOLD_TO, _FOLD_LONGER = _folds()
+_LONGER_CLASS = "[" + "".join(re.escape(a) for a, _ in _FOLD_LONGER) + "]"
+
+
+def _spelt_out(text: Column) -> Column:
+    """Characters whose compatibility form is several, such as ligatures, spelt out; few texts hold any."""
+    listed = lambda side: F.split(F.lit("\x00".join(pair[side] for pair in _FOLD_LONGER)), "\x00")
+    spelt = lambda c: F.coalesce(F.get(listed(1), F.array_position(listed(0), c).cast("int") - 1), c)
+    whole = F.array_join(F.transform(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), spelt), "")
+    return F.when(text.rlike(_LONGER_CLASS), whole).otherwise(text)
 
 
 def without_accents(value) -> Column:
-    """Letters without their accents; plain ASCII text passes through untouched."""
+    """Letters without marks, in their compatibility form; plain ASCII text passes through untouched."""
     text = _c(value)
-    folded = F.translate(F.regexp_replace(text, r"\p{Mn}+", ""), _FOLD_FROM, _FOLD_TO)
-    return F.when(text.rlike(r"[^\x00-\x7F]"), folded).otherwise(text)
+    folded = F.translate(F.regexp_replace(text, _COMBINING, ""), _FOLD_FROM, _FOLD_TO)
+    return F.when(text.rlike(r"[^\x00-\x7F]"), _spelt_out(folded)).otherwise(text)
 
 
 def folded_name(value) -> Column:

@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 from ..functions import fixed as fx
 
 DELIMITERS = [";", ",", "\t", "|"]
+#: A row's index is its split's start in units of ``_BLOCK_BYTES``, then its row id: in order for splits of that size or more
+#: and files up to 4 TB.
 _ID_BITS = 33
-_BLOCK_BYTES = 1 << 16
+_BLOCK_BYTES = 1 << 12
+_SHEET_ROWS = "source_path string, source_file string, source_sheet string, row_idx bigint, cells array<string>"
 
 
 def _code_page() -> tuple[str, str]:
@@ -62,56 +65,89 @@ def read_feed_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     return text_rows(spark, paths).select("source_file", "row_ord", decoded(F.col("line")).alias("line"))
 
 
+_QUOTED = '(?s)"[^"]*"'
+
+
+def _fields(text: Column, delimiter: str) -> Column:
+    """Number of fields of a record: delimiters outside quotes, and one."""
+    return F.regexp_count(F.regexp_replace(text, _QUOTED, ""), F.lit("[" + delimiter + "]")) + 1
+
+
 def describe_delimited(spark: SparkSession, paths: list[str] | str, delimiters: list[str] = DELIMITERS) -> DataFrame:
-    """One row per file: first line, delimiter and whether all of it is valid UTF-8."""
+    """One row per file: first line, delimiter, widest line in fields, whether all of it is valid UTF-8, and whether a
+    quoted value goes on over a line end."""
     rows = text_rows(spark, paths)
     at_start = F.col("row_ord.block") == 0
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
+    widths = [F.max(_fields(F.col("line"), d)).alias(f"width_{i}") for i, d in enumerate(delimiters)]
     files = rows.groupBy("path", "source_file").agg(
         F.min_by("line", F.when(at_start, F.col("row_ord"))).alias("first_line"),
-        F.bool_and(F.is_valid_utf8("line")).alias("utf8"),
+        F.bool_and(F.is_valid_utf8("line")).alias("utf8"), F.bool_or(quotes % 2 == 1).alias("multi"), *widths,
     )
     counted = [
-        F.struct((F.regexp_count("header", F.lit("[" + d + "]"))).alias("n"), F.lit(-i).alias("rank"), F.lit(d).alias("d"))
+        F.struct(_fields(F.col("header"), d).alias("n"), F.lit(-i).alias("rank"), F.lit(d).alias("d"), F.col(f"width_{i}").alias("width"))
         for i, d in enumerate(delimiters)
     ]
+    chosen = F.greatest(*counted)
     return files.withColumn("header", decoded(F.col("first_line"))).select(
-        "path", "source_file", "header", "utf8", F.greatest(*counted)["d"].alias("delimiter")
+        "path", "source_file", "header", "utf8", "multi", chosen["d"].alias("delimiter"), chosen["width"].alias("width")
     )
 
 
+def _csv(spark: SparkSession, paths: list[str], delimiter: str, utf8: bool, multi: bool, width: int, header: bool, bad: bool = False) -> DataFrame:
+    schema = ", ".join([f"c{i} string" for i in range(width)] + ["bad string"] * bad)
+    options = {
+        "sep": delimiter, "quote": '"', "escape": '"', "header": header, "enforceSchema": True, "mode": "PERMISSIVE", "multiLine": multi,
+        "maxColumns": max(20480, width + 1), "encoding": "UTF-8" if utf8 else "ISO-8859-1",
+    }
+    if bad:
+        options["columnNameOfCorruptRecord"] = "bad"
+    return spark.read.options(**options).schema(schema).csv(paths)
+
+
+def _widest_record(spark: SparkSession, paths: list[str], delimiter: str, utf8: bool, width: int) -> int:
+    """Fields of the widest record of files whose records go over line ends: those that don't have ``width`` fields come
+    with their own text."""
+    records = _csv(spark, paths, delimiter, utf8, True, width, False, bad=True)
+    sized = records.select(F.struct(F.coalesce(_fields(F.col("bad"), delimiter), F.lit(0)).alias("n"), "c0").alias("record"))
+    return max(width, (sized.agg(F.max("record").alias("record")).first()["record"] or {"n": 0})["n"])
+
+
 def read_delimited(spark: SparkSession, paths: list[str] | str, delimiters: list[str] = DELIMITERS) -> DataFrame:
-    """Delimited files as sheet rows ``(source_file, source_sheet, row_idx, cells)``, all text.
+    """Delimited files as sheet rows ``(source_path, source_file, source_sheet, row_idx, cells)``, all text.
 
-    Files are grouped by delimiter and encoding (at most eight scans in all); row 0 holds the titles.
-    Only the file list with its first lines reaches the driver, as any file listing does.
+    Every record becomes one row with all its cells: quotes are doubled inside quoted values, which may hold delimiters
+    and line ends, and a group's rows are as wide as its widest record. Files are grouped by delimiter, encoding and
+    whether records go over line ends; only files of the last kind are read unsplit. Row 0 holds the titles. The paths,
+    which Spark's file listing holds on the driver anyway, come there one by one; titles stay distributed.
     """
-    files = describe_delimited(spark, paths, delimiters)
-    width = F.regexp_count("header", F.concat(F.lit("["), F.col("delimiter"), F.lit("]"))) + 1
-    groups = files.groupBy("delimiter", "utf8").agg(
-        F.max(width).alias("width"), F.collect_list("path").alias("paths"),
-        F.collect_list(F.struct("source_file", "header")).alias("headers"),
-    ).collect()
-    parts = []
-    for g in groups:
-        columns = [f"c{i}" for i in range(g.width)]
-        schema = ", ".join(f"{c} string" for c in columns)
-        options = {"sep": g.delimiter, "header": "true", "enforceSchema": "true", "mode": "PERMISSIVE"}
-        data = spark.read.options(**options, encoding="UTF-8" if g.utf8 else "ISO-8859-1").schema(schema).csv(list(g.paths))
-        clean = lambda c: F.when(~F.col(c).isin(fx.CSV_MISSING), F.col(c) if g.utf8 else from_single_byte(F.col(c)))
+    groups: dict[tuple, list] = {}
+    for f in describe_delimited(spark, paths, delimiters).select("path", "delimiter", "utf8", "multi", "width").toLocalIterator():
+        group = groups.setdefault((f["delimiter"], f["utf8"], f["multi"]), [1, []])
+        group[0] = max(group[0], f["width"])
+        group[1].append(f["path"])
+    parts = [spark.createDataFrame([], _SHEET_ROWS)]
+    for (delimiter, utf8, multi), (width, listed) in sorted(groups.items()):
+        if multi:
+            width = _widest_record(spark, listed, delimiter, utf8, width)
+        columns = [f"c{i}" for i in range(width)]
+        shown = lambda c: F.col(c) if utf8 else from_single_byte(F.col(c))
+        clean = lambda c: F.when(~F.col(c).isin(fx.CSV_MISSING), shown(c))
         order = (
             F.floor(F.col("_metadata.file_block_start") / _BLOCK_BYTES) * (1 << _ID_BITS)
             + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ID_BITS) - 1))
             + 1
         )
-        body = data.select(
-            F.col("_metadata.file_name").alias("source_file"), F.lit("CSV").alias("source_sheet"),
-            order.cast("bigint").alias("row_idx"), F.array(*[clean(c) for c in columns]).alias("cells"),
-        )
-        titles = spark.createDataFrame([(h.source_file, h.header) for h in g.headers], "source_file string, header string")
-        head = titles.withColumn("t", F.from_csv("header", F.lit(schema), {"sep": g.delimiter})).select(
-            "source_file", F.lit("CSV").alias("source_sheet"), F.lit(0).cast("bigint").alias("row_idx"),
-            F.array(*[F.col(f"t.{c}") for c in columns]).alias("cells"),
+        place = [F.col("_metadata.file_path").alias("source_path"), F.col("_metadata.file_name").alias("source_file"), F.lit("CSV").alias("source_sheet")]
+        body = _csv(spark, listed, delimiter, utf8, multi, width, True).select(
+            *place, order.cast("bigint").alias("row_idx"), F.array(*[clean(c) for c in columns]).alias("cells")
         )
+        records = _csv(spark, listed, delimiter, utf8, multi, width, False).filter(F.col("_metadata.file_block_start") == 0)
+        head = records.select(*place, order.alias("place"), F.array(*[shown(c) for c in columns]).alias("cells")).groupBy(
+            "source_path", "source_file", "source_sheet"
+        ).agg(F.lit(0).cast("bigint").alias("row_idx"), F.min_by("cells", "place").alias("cells"))
+        first = F.regexp_replace(F.get("cells", F.lit(0)), "^\ufeff", "")
+        head = head.withColumn("cells", F.concat(F.array(first), F.slice("cells", F.lit(2), F.greatest(F.size("cells") - 1, F.lit(0)))))
         parts.append(head.unionByName(body))
     return reduce(DataFrame.unionByName, parts)
 

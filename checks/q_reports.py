@@ -12,7 +12,7 @@ from lettrage.sources import exports, history as hist
 
 from . import views as v
 from .q_matching import PERIOD, covered_erp, period_sources, reconciled
-from .registry import query
+from .registry import query, scratch
 from .sql import FROM, TO, recon, with_
 
 R = recon()
@@ -341,11 +341,18 @@ _HISTORY = """
 """
 
 
-@query("history_append", with_(R + _HISTORY, "SELECT * FROM h1"))
+# 1992 is stored in an older layout without two columns; 1995 and 1996 are appended twice
+@query("history_append", with_(R + _HISTORY, """
+  SELECT * REPLACE (CASE WHEN processing_date LIKE '1992%' THEN '' ELSE origin END AS origin,
+    CASE WHEN processing_date LIKE '1992%' THEN '' ELSE due_date END AS due_date) FROM h1"""))
 def _(spark, sf):
-    stored = history(spark, sf)
-    return hist.append_history(stored.filter("status <> 'OK'").drop("origin", "due_date").limit(0).unionByName(
-        stored.filter("status <> 'OK'"), allowMissingColumns=True), stored)
+    rows, path = history(spark, sf), scratch(spark)
+    year = F.substring("processing_run_id", 1, 4).cast("int")
+    older = rows.filter(year == 1992).dropDuplicates().drop("origin", "due_date")
+    older.write.partitionBy("processing_run_id").parquet(path)
+    hist.append_to(path, rows.filter(year.between(1993, 1996)))
+    hist.append_to(path, rows.filter(year >= 1995))
+    return hist.read_history(spark, path)
 
 
 query("latest_run_rows", with_(R + _HISTORY, """

@@ -326,3 +326,30 @@ query("full_run", with_(recon(sources=_FULL), """
   SELECT * EXCLUDE (included_in_corrective_batch), status = 'MANQUANTE_RCI' AND severity IN ('CRITIQUE', 'ELEVEE') AS included_in_corrective_batch FROM recon"""))(
     lambda spark, sf: full(spark, sf).rows
 )
+
+
+# what the run writes, read back: rows of each table, and the title line of the batch file
+@query("run_outputs", with_(recon(sources=_FULL), """
+  , flagged AS (SELECT *, status = 'MANQUANTE_RCI' AND severity IN ('CRITIQUE', 'ELEVEE') AS batched FROM recon)
+  SELECT 'reconciliation' AS output, count(*) AS n FROM recon
+  UNION ALL SELECT 'action_plan', count(*) FROM recon WHERE severity NOT IN ('OK', 'INFORMATION')
+  UNION ALL SELECT 'out_of_period', count(*) FROM recon WHERE status = 'RCI_HORS_PERIODE'
+  UNION ALL SELECT 'audit_missing', count(*) FROM recon WHERE status = 'MANQUANTE_RCI'
+  UNION ALL SELECT 'audit_out_of_scope', count(*) FROM recon WHERE status = 'HORS_SCOPE_RCI'
+  UNION ALL SELECT 'batch_control', count(*) FROM flagged WHERE batched
+  UNION ALL SELECT 'batch: invoice_number;erp_date;customer_name;amount_erp;montant_impacte;severity', count(*) FROM flagged WHERE batched
+  UNION ALL SELECT 'history', count(*) FROM recon"""))
+def _(spark, sf):
+    from lettrage.sources import history as hist
+
+    folder = scratch(spark)
+    done = full(spark, sf).stored(folder)
+    done.write(folder)
+    csv = lambda name: spark.read.options(sep=";", header=True).csv(f"{folder}/{name}/run_id=20260515_213000")
+    lines = spark.read.options(header=True, sep="\x01", quote="").csv(f"{folder}/batch/run_id=20260515_213000")
+    count = lambda frame, name: frame.groupBy().agg(F.lit(name).alias("output"), F.count(F.lit(1)).alias("n"))
+    names = ["reconciliation", "action_plan", "out_of_period", "audit_missing", "audit_out_of_scope", "batch_control"]
+    parts = [count(csv(n), n) for n in names] + [count(lines, f"batch: {lines.columns[0]}"), count(hist.read_history(spark, f"{folder}/history"), "history")]
+    for part in parts[1:]:
+        parts[0] = parts[0].unionByName(part)
+    return parts[0]

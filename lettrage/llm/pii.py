@@ -20,6 +20,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lettrage.llm.shared import stored
 from lettrage.llm.spans import digits_of, find_spans, ranked
 
 # Kinds in their order and patterns. Possessive quantifiers and the tests before a match give the same
@@ -211,7 +212,7 @@ def kind_of(c: Column) -> Column:
 
 def find_pii(docs: DataFrame, model: Trees | None = None, precision: float = PRECISION) -> DataFrame:
     """``doc_id, base, spans``: arrays of (start, rank, end, kind); ``spans`` holds the base and what the trees add."""
-    spans = candidate_spans(docs)
+    spans = stored(candidate_spans(docs), "candidate-spans")  # read for fitting, then for judging
     model = model or fit(spans, precision)
 
     def span(c: Column) -> Column:

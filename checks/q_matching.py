@@ -42,13 +42,15 @@ def reconciled(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- period
 
-@query("period_manual", f"""
-  SELECT {FROM} AS start_date, {TO} AS end_date, 'manual' AS mode, 'cli' AS source, count(*) AS orders FROM orders""")
+@query("period_manual", with_(SOURCES, f"""
+  SELECT {FROM} AS start_date, {TO} AS end_date, 'manual' AS mode, 'cli' AS source, row_no, dt AS erp_date FROM erp
+  WHERE dt BETWEEN {FROM} AND {TO}"""))
 def _(spark, sf):
     period = PERIOD(spark)
-    return v.orders(spark, sf).agg(
+    kept = per.keep_in_period(v.erp(spark, sf).select("row_ord", "erp_date"), period)
+    return kept.select(
         F.lit(period.start).alias("start_date"), F.lit(period.end).alias("end_date"), F.lit(period.mode).alias("mode"),
-        F.lit(period.source).alias("source"), F.count(F.lit(1)).alias("orders"),
+        F.lit(period.source).alias("source"), F.col("row_ord").alias("row_no"), "erp_date",
     )
 
 

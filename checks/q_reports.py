@@ -67,17 +67,15 @@ def run_summary(spark, sf):
 
 query("run_summary", with_(R + _METRICS, f"SELECT {_SUMMARY} FROM kept, s, t"))(run_summary)
 
-# counts as text; amounts are left to run_summary, their text form differs between engines
-_LONG = [
-    ("rci_out_of_period", "hp"), ("erp_analyzed_invoices", "ok + mi + hs + am + ad + db"), ("matched_invoices", "ok"),
-    ("unmatched_erp", "mi"), ("unmatched_rci", "rs"), ("gaps_detected", "mi + rs + am + ad + db"), ("severity_elevee", "se"),
-]
-
-
-@query("export_summary_long", with_(R + _METRICS, " UNION ALL ".join(
-    f"SELECT '{name}' AS metric, CAST({value} AS VARCHAR) AS value FROM s" for name, value in _LONG)))
-def _(spark, sf):
-    return summ.metric_rows(summ.run_metrics(reconciled(spark, sf)).select(*[n for n, _ in _LONG]))
+# every metric as text
+query("export_summary_long", with_(R + _METRICS, f"""
+  , summary AS (SELECT {_SUMMARY} FROM kept, s, t),
+  texts AS (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM (SELECT * REPLACE (
+    printf('%.2f', total_controlled_amount) AS total_controlled_amount, printf('%.2f', total_amount_gap) AS total_amount_gap,
+    printf('%.2f', total_impacted_amount) AS total_impacted_amount, printf('%.2f', missing_rci_amount) AS missing_rci_amount) FROM summary))
+  UNPIVOT texts ON COLUMNS(*) INTO NAME metric VALUE value"""))(
+    lambda spark, sf: summ.metric_rows(run_summary(spark, sf))
+)
 
 
 @query("metric_pivot", with_(R, """

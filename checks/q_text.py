@@ -68,16 +68,18 @@ def _(spark, sf):
     return text.read_feed_lines(spark, folder).select("line")
 
 
-@query("source_inventory", """
-  SELECT 'erp' AS source_type, CAST(2 AS BIGINT) AS n_files, CAST(0 AS BIGINT) AS missing
-  UNION ALL SELECT 'rci', 3, 0 UNION ALL SELECT 'pdf', 0, 1""")
+# files of 400 rows at most, so their number follows the table
+@query("source_inventory", with_(RAW, """
+  SELECT 'erp' AS source_type, CAST(ceil(count(*) / 400.0) AS BIGINT) AS n_files, greatest(5 - CAST(ceil(count(*) / 400.0) AS BIGINT), 0) AS missing FROM raw
+  UNION ALL SELECT 'rci', CAST(ceil(count(*) / 300.0) AS BIGINT), greatest(4 - CAST(ceil(count(*) / 300.0) AS BIGINT), 0) FROM raw
+  UNION ALL SELECT 'pdf', 0, 1"""))
 def _(spark, sf):
-    folder = scratch(spark)
-    v.erp_raw(spark, sf).select("k", "facture").repartition(2).write.option("header", True).csv(f"{folder}/erp")
-    v.feed_lines(spark, sf).select("line").repartition(3).write.text(f"{folder}/rci")
-    v.statement_lines(spark, sf).select("line").repartition(2).write.text(f"{folder}/pdf")
+    folder, rows = scratch(spark), v.erp_raw(spark, sf).select("k", "facture").coalesce(1)
+    rows.write.options(header=True, maxRecordsPerFile=400).csv(f"{folder}/erp")
+    rows.select("facture").write.option("maxRecordsPerFile", 300).text(f"{folder}/rci")
+    rows.select("facture").write.text(f"{folder}/pdf")
     extensions = {"erp": [".csv", ".xlsx"], "rci": [".TXT"], "pdf": [".pdf"]}
-    return text.source_inventory(spark, folder, extensions, {"erp": 1, "rci": 1, "pdf": 1})
+    return text.source_inventory(spark, folder, extensions, {"erp": 5, "rci": 4, "pdf": 1})
 
 
 @query("union_sources", with_(SOURCES, """
@@ -169,12 +171,16 @@ _KEYS = ["source_file", "source_sheet"]
 _TARGETS = list(fx.ERP_ALIASES)
 
 query("drop_empty", with_(_SHEETS, """
-  SELECT file AS source_file, sheet AS source_sheet, k + 1 AS row_idx, CAST(CASE v WHEN 0 THEN 5 WHEN 1 THEN 8 WHEN 2 THEN 13 ELSE 5 END AS BIGINT) AS width,
-    CASE v WHEN 2 THEN CASE WHEN k % 7 = 0 THEN CASE WHEN k % 3 <> 0 THEN montant END ELSE 'DIVERS' END WHEN 1 THEN 'URGENT' WHEN 0 THEN nom ELSE 'PR' END AS probe
+  SELECT file AS source_file, sheet AS source_sheet, k + 1 AS row_idx, array_to_string(list_transform(CASE v
+    WHEN 0 THEN [facture, date_text, montant, code, nom]
+    WHEN 1 THEN [date_text, facture, code, nom, montant, 'PR', 'DIVERS', 'URGENT']
+    WHEN 2 THEN CASE WHEN k % 7 = 0
+      THEN ['AX', NULL, facture, date_text, NULL, code, nom, 'FG', NULL, CASE WHEN k % 3 = 0 THEN montant END, CASE WHEN k % 3 <> 0 THEN montant END, NULL, 'MCPR']
+      ELSE [date_text, 'AX', facture, code, nom, code, nom, '3', montant, 'PR', 'DIVERS', 'MCPR', 'LIVRAISON DIR'] END
+    ELSE [CASE WHEN k % 9 = 0 THEN 'ABC' || k ELSE facture END, date_text, montant, nom, 'PR'] END, lambda x: coalesce(x, '')), '|') AS cells
   FROM sh"""))(
     lambda spark, sf: sheets.drop_empty(v.erp_sheets(spark, sf)).select(
-        *_KEYS, "row_idx", F.size("cells").alias("width"),
-        F.when(F.size("cells") == 13, F.get("cells", F.lit(10))).otherwise(F.element_at("cells", -1)).alias("probe"))
+        "source_file", "source_sheet", "row_idx", F.array_join(F.transform("cells", lambda c: F.coalesce(c, F.lit(""))), "|").alias("cells"))
 )
 
 _LAYOUT = """SELECT * FROM (VALUES
@@ -190,15 +196,15 @@ query("alias_map", with_(_SHEETS, _LAYOUT.format(
 )
 # the headerless sheet is inferred too, though it is read by position
 query("column_roles", with_(_SHEETS, _LAYOUT.format(
-    t=_big([0, 1, 2]), l=_big([1, 0, 4]), b=_big([2, None, None]), c=_big([0, 1, 2]), names="invoice_number, erp_date, amount_erp")
-    + " WHERE source_sheet <> 'Feuil1'"))(
-    lambda spark, sf: sheets.column_roles(v.erp_sheets(spark, sf), "erp").filter("not bare").select(
+    t=_big([0, 1, 2]), l=_big([1, 0, 4]), b=_big([2, 0, 8]), c=_big([0, 1, 2]), names="invoice_number, erp_date, amount_erp")
+    + " WHERE EXISTS (SELECT 1 FROM sh)"))(
+    lambda spark, sf: sheets.column_roles(v.erp_sheets(spark, sf), "erp").select(
         *_KEYS, "invoice_number", "erp_date", "amount_erp")
 )
 query("neighbour_roles", with_(_SHEETS, _LAYOUT.format(
-    t=_big([3, 4, None, None, None]), l=_big([2, 3, 5, 6, 7]), b=_big([None] * 5), c=_big([None, 3, 4, None, None]),
-    names="customer_code, customer_name, department_code, brand_code, sales_order_type") + " WHERE source_sheet <> 'Feuil1'"))(
-    lambda spark, sf: sheets.column_roles(v.erp_sheets(spark, sf), "erp").filter("not bare").select(
+    t=_big([3, 4, None, None, None]), l=_big([2, 3, 5, 6, 7]), b=_big([3, 4, 9, 10, 11]), c=_big([None, 3, 4, None, None]),
+    names="customer_code, customer_name, department_code, brand_code, sales_order_type") + " WHERE EXISTS (SELECT 1 FROM sh)"))(
+    lambda spark, sf: sheets.column_roles(v.erp_sheets(spark, sf), "erp").select(
         *_KEYS, "customer_code", "customer_name", "department_code", "brand_code", "sales_order_type")
 )
 

@@ -127,10 +127,10 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 GROUPS_SQL = r"""
 WITH RECURSIVE worded AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+'), w -> w <> '') AS w FROM documents),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
 sets AS (
   SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' ')) END) AS s FROM worded),
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM worded),
 sized AS (SELECT doc_id, len(s) AS n, s FROM sets),
 spread AS (SELECT doc_id, n, unnest(s) AS shingle FROM sized),
 pairs AS (

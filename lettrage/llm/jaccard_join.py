@@ -8,8 +8,8 @@
 4. First pass: in each list and class of sizes, entries are held against the list's first only; every set keeps the
    pivot with which it shares most lists, and that pair is verified. A group of copies costs as many pairs as members.
 5. Second pass: only entries whose sets are not yet connected form pairs. Where both have an answer for the same pivot,
-   the pair's answer is bounded, and often decided, by the two known overlaps; a parity bitmap bounds the rest. What
-   remains is verified on whole sets. Pairs inside a component need no answer, as they cannot change it.
+   the pair's answer is bounded, and often decided, by the two known overlaps; parity bitmaps, as long as the sets are
+   large, bound the rest. What remains is verified on whole sets. Pairs inside a component need no answer, as they cannot change it.
 
 Defined cases: null text is empty; a text without words has no shingles and links with nothing; with fewer words than
 ``width`` the whole sequence is the one shingle; rows that share a ``doc_id`` are one node, linked if any of its texts
@@ -37,7 +37,7 @@ SHORT, LIST_BLOCK = 12, 256
 TOGETHER = 200_000
 BROADCAST_IDS = 1_000_000
 MULTIPLIER, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-SETS = "doc_id bigint, n int, s1 bigint, s2 bigint, parity binary, token bigint, repeats bigint"
+SETS = "doc_id bigint, n int, s1 bigint, s2 bigint, parity binary, digest binary, token bigint, repeats bigint"
 ENTRIES = "token bigint, n int, pos int, id bigint"
 
 
@@ -81,10 +81,25 @@ def fingerprint(hashes: np.ndarray) -> tuple[int, int]:
     return tuple(int(x) for x in np.array([value >> 64, value & (1 << 64) - 1], dtype=np.uint64).astype(np.int64))
 
 
-def parity(hashes: np.ndarray) -> bytes:
-    """256 bits: whether an odd number of the set's hashes falls on each. Sets that differ in d elements differ in d bits
-    at most."""
-    return np.packbits(np.bincount((hashes & np.uint64(255)).astype(np.intp), minlength=256) & 1).tobytes()
+def parity(hashes: np.ndarray, bits: int = 256) -> bytes:
+    """Whether an odd number of the set's hashes falls on each of the bits, a power of two. Sets that differ in d elements
+    differ in d bits at most."""
+    return np.packbits(np.bincount((hashes & np.uint64(bits - 1)).astype(np.intp), minlength=bits) & 1).tobytes()
+
+
+def digest(hashes: np.ndarray) -> bytes:
+    """The parity on at least as many bits as the set has elements: enough to tell unlike sets of any size apart."""
+    return parity(hashes, 1 << max(8, (len(hashes) - 1).bit_length()))
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """Bits in which two digests differ, the longer one folded to the length of the other."""
+    a, b = np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8)
+    if len(a) < len(b):
+        a, b = b, a
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def describe(docs: DataFrame, width: int) -> DataFrame:
@@ -94,7 +109,7 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
         import pyarrow as pa
 
         names = [c.split()[0] for c in SETS.split(", ")]
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
         rows, seen, held, size = [], set(), [], 0
 
         def described():
@@ -103,13 +118,13 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
         def repeated():
             tokens, n = np.unique(np.concatenate(held), return_counts=True)
             tokens, n = tokens[n >= REPEATED].view(np.int64), n[n >= REPEATED]
-            empty = [pa.nulls(len(tokens), k) for k in kinds[:5]]
+            empty = [pa.nulls(len(tokens), k) for k in kinds[:6]]
             return pa.RecordBatch.from_arrays([*empty, pa.array(tokens, pa.int64()), pa.array(n, pa.int64())], names)
 
         for doc_id, text in rows_of(batches):
             hashes = shingle_set(text, width)
             s1, s2 = fingerprint(hashes)
-            rows.append((doc_id, len(hashes), s1, s2, parity(hashes), None, None))
+            rows.append((doc_id, len(hashes), s1, s2, parity(hashes), digest(hashes), None, None))
             if (s1, s2) not in seen:
                 seen.add((s1, s2))
                 held.append(hashes)
@@ -224,6 +239,24 @@ def overlaps(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     return joined.select("a", "b", "na", "nb", F.size(F.array_intersect("ha", "hb")).alias("overlap"))
 
 
+def plausible(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose digests don't rule a link out; ids with several texts always stay."""
+    def judge(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = zip(*[c.to_pylist() for c in batch.columns])
+            kept = [
+                (a, b) for a, b, na, nb, da, db, mixed in rows if mixed or (na + nb - differing(da, db)) // 2 >= needed(na, nb, percent)
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in kept], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    first = about.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("digest").alias("da"), F.col("mixed").alias("ma"))
+    second = about.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("digest").alias("db"), F.col("mixed").alias("mb"))
+    joined = pairs.select("a", "b").join(first, "a").join(second, "b")
+    return joined.select("a", "b", "na", "nb", "da", "db", (F.col("ma") + F.col("mb") > 0).alias("mixed")).mapInArrow(judge, "a bigint, b bigint")
+
+
 def linked(percent: int):
     return F.col("overlap") * 100 >= (F.col("na") + F.col("nb") - F.col("overlap")) * percent
 
@@ -349,25 +382,27 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     entries = prefixes(docs, order, width, percent).repartition("token")
     lists = entries.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("held > 1").drop("held")
     lists = stored(lists, "lists")
-    first = stored(overlaps(stored(to_pivots(lists, percent), "pivots"), docs, width), "pivot-answers")
+    about = stored(full.groupBy(F.col("doc_id").alias("id")).agg(
+        F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("digest").alias("digest"),
+        ((F.min("s1") < F.max("s1")) | (F.min("s2") < F.max("s2"))).cast("int").alias("mixed"),
+    ), "digests")
+    first = stored(overlaps(stored(plausible(to_pivots(lists, percent), about, percent), "pivots"), docs, width), "pivot-answers")
     copies = stored(copies, "copies")
     links = copies.unionByName(first.filter(linked(percent)).select("a", "b"))
     near = components(links)
 
-    about = full.groupBy(F.col("doc_id").alias("id")).agg(
-        F.first("parity").alias("parity"), ((F.min("s1") < F.max("s1")) | (F.min("s2") < F.max("s2"))).cast("int").alias("mixed")
-    )
     known = first.groupBy(F.col("a").alias("id")).agg(
         F.first("b").alias("pivot"), F.min("nb").alias("pivot_n"), F.max("overlap").alias("known"), F.count(F.lit(1)).alias("answers")
     )
     listed = (
-        lists.join(near.select(F.col("node").alias("id"), "component"), "id", "left").join(known, "id", "left").join(about, "id")
+        lists.join(near.select(F.col("node").alias("id"), "component"), "id", "left").join(known, "id", "left").join(about.select("id", "parity", "mixed"), "id")
         .select("token", "n", "pos", "id", F.coalesce("component", "id").alias("comp"), F.coalesce("pivot", F.lit(0)).alias("pivot"),
                 F.coalesce("pivot_n", F.lit(0)).alias("pivot_n"),
                 F.when((F.col("answers") == 1) & (F.col("mixed") == 0), F.col("known")).otherwise(-1).alias("known"), "mixed", "parity")
     )
     open_pairs = stored(unconnected_pairs(listed, percent), "open-pairs")
-    second = overlaps(open_pairs.filter("not sure"), docs, width).filter(linked(percent)).select("a", "b")
+    unsure = stored(plausible(open_pairs.filter("not sure"), about, percent), "unsure-pairs")
+    second = overlaps(unsure, docs, width).filter(linked(percent)).select("a", "b")
     found = components(links.unionByName(second).unionByName(open_pairs.filter("sure").select("a", "b")))
     return sets.join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select(
         "doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")

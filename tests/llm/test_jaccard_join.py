@@ -89,3 +89,14 @@ def test_open_pairs_against_all_pairs(monkeypatch):
     got = {(min(a, b), max(a, b)) for x, y, _ in lists.found() for a, b in zip(lists.ids[x].tolist(), lists.ids[y].tolist())}
     want = {(i, j) for i in range(60) for j in range(i + 1, 60) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))}
     assert len(want) > 50 and want <= got
+
+
+def test_digests_bound_the_difference():
+    rng = np.random.default_rng(3)
+    for n in (5, 250, 3000):
+        for m in (n, n * 3):
+            a, b = np.unique(rng.integers(0, 2**62, n).astype(np.uint64)), rng.integers(0, 2**62, m).astype(np.uint64)
+            b = np.unique(np.concatenate([a[: n // 2], b]))
+            assert jaccard_join.differing(jaccard_join.digest(a), jaccard_join.digest(b)) <= len(np.setxor1d(a, b))
+    a, b = (np.unique(rng.integers(0, 2**62, 3000).astype(np.uint64)) for _ in range(2))
+    assert jaccard_join.differing(jaccard_join.digest(a), jaccard_join.digest(b)) > 1200 and jaccard_join.differing(jaccard_join.digest(a), jaccard_join.digest(a)) == 0

@@ -14,20 +14,20 @@ from collections.abc import Iterator
 import numpy as np
 
 END_ID = 1
-#: Pieces kept per worker; beyond, the table starts anew. It bounds memory and has no effect on results.
+#: Pieces kept per worker; beyond, the table starts anew before the next texts. It bounds memory and has no effect on results.
 KEPT = 1_000_000
 #: Texts encoded at a time, and pieces given to the library at a time.
 TEXTS, TOGETHER = 64, 2000
 LETTERS_AND_MARKS = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)")
 
 
-class Pieces(dict):
-    """piece -> its ids as little-endian 32-bit integers; unknown pieces are encoded when they are asked for."""
+class Pieces:
+    """``known``: piece -> its ids as little-endian 32-bit integers, for the pieces met so far."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
+        self.known: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.word_end = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
@@ -36,42 +36,44 @@ class Pieces(dict):
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.ids(piece).tobytes()
-        if len(piece) < 64:
-            self[piece] = ids
-        return ids
-
     def learn(self, pieces: set[str]) -> None:
-        """Encode the letters of new pieces together, and make up from them those with marks behind them. Letters below
-        U+0130 are composed already and have one letter of lower case, so the library would not change them further."""
-        stems = {}
+        """Encode new pieces. Letters are encoded together, and pieces with marks behind them made up from them; letters
+        below U+0130 are composed already and have one letter of lower case, so the library would not change them further."""
+        known, stems = self.known, {}
         for piece in pieces:
             parts = LETTERS_AND_MARKS.fullmatch(piece)
             if parts and len(piece) < 64 and parts[1].isalpha() and max(parts[1]) < "\u0130":
                 stems[piece] = parts[1].lower(), parts[2]
-        words = [w for w in {w: None for w, _ in stems.values()} if w not in self]
+        words = [w for w in {w: None for w, _ in stems.values()} if w not in known]
         for at in range(0, len(words), TOGETHER):
             part = words[at : at + TOGETHER]
             ids = self.ids(" ".join(part))
             ends = np.flatnonzero(self.word_end[ids]) + 1
             if len(ends) == len(part):
                 raw, cuts = ids.tobytes(), (ends * 4).tolist()
-                self.update(zip(part, (raw[a:b] for a, b in zip([0, *cuts], cuts))))
+                known.update(zip(part, (raw[a:b] for a, b in zip([0, *cuts], cuts))))
         for piece, (stem, marks) in stems.items():
-            self[piece] = self[stem] + self[marks]
+            known[piece] = self.one(stem) + self.one(marks) if marks else self.one(stem)
+        for piece in pieces - stems.keys():
+            known[piece] = self.one(piece)
+
+    def one(self, piece: str) -> bytes:
+        if piece not in self.known:
+            self.known[piece] = self.ids(piece).tobytes()
+        return self.known[piece]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text and the end id; null is empty."""
-        if len(self) > KEPT:
-            self.clear()
+        known = self.known
+        if len(known) > KEPT:
+            known.clear()
         cut = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*cut).difference(self.keys())
+        new = set().union(*cut).difference(known)  # looks up the pieces, not the whole table
+        known[""] = b""
         new.discard("")
-        self[""] = b""
         self.learn(new)
         end = END_ID.to_bytes(4, "little")
-        return [b"".join(map(self.__getitem__, pieces)) + end for pieces in cut]
+        return [b"".join(map(known.__getitem__, pieces)) + end for pieces in cut]
 
 
 _KNOWN: dict[str, Pieces] = {}

@@ -27,7 +27,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that an earlier document holds; ``n_chars`` follows the text."""
+    """All documents, without lines that an earlier document holds; ``n_chars`` follows the text. A document that loses all
+    its lines stays, with empty text."""
     kept = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs))
     changed = F.col("n_dropped") > 0
     new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text")}

@@ -33,6 +33,8 @@ FREQUENT = 1 << 16
 COUNTED, REPEATED = 1 << 21, 3
 #: Lists of up to so many entries are compared all at once; longer ones in blocks.
 SHORT, LIST_BLOCK = 12, 256
+#: Bits of parity that each entry of a list carries.
+PARITY_BITS = 1024
 #: Entries held before their lists are compared.
 TOGETHER = 200_000
 BROADCAST_IDS = 1_000_000
@@ -81,7 +83,7 @@ def fingerprint(hashes: np.ndarray) -> tuple[int, int]:
     return tuple(int(x) for x in np.array([value >> 64, value & (1 << 64) - 1], dtype=np.uint64).astype(np.int64))
 
 
-def parity(hashes: np.ndarray, bits: int = 256) -> bytes:
+def parity(hashes: np.ndarray, bits: int = PARITY_BITS) -> bytes:
     """Whether an odd number of the set's hashes falls on each of the bits, a power of two. Sets that differ in d elements
     differ in d bits at most."""
     return np.packbits(np.bincount((hashes & np.uint64(bits - 1)).astype(np.intp), minlength=bits) & 1).tobytes()
@@ -89,7 +91,7 @@ def parity(hashes: np.ndarray, bits: int = 256) -> bytes:
 
 def digest(hashes: np.ndarray) -> bytes:
     """The parity on at least as many bits as the set has elements: enough to tell unlike sets of any size apart."""
-    return parity(hashes, 1 << max(8, (len(hashes) - 1).bit_length()))
+    return parity(hashes, max(PARITY_BITS, 1 << (len(hashes) - 1).bit_length()))
 
 
 def differing(x: bytes, y: bytes) -> int:
@@ -349,7 +351,7 @@ def unconnected_pairs(lists: DataFrame, percent: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             columns = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns[:-1]]
-            bits = np.frombuffer(b"".join(batch.columns[-1].to_pylist()), dtype=np.uint64).reshape(-1, 4)
+            bits = np.frombuffer(b"".join(batch.columns[-1].to_pylist()), dtype=np.uint64).reshape(-1, PARITY_BITS // 64)
             held.append([*columns, bits])
             if sum(len(p[0]) for p in held) < TOGETHER:
                 continue

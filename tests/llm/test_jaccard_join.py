@@ -84,7 +84,7 @@ def test_open_pairs_against_all_pairs(monkeypatch):
         columns += [(int(t), len(sets[-1]), p, i, i, 0, 0, -1, 0, jaccard_join.parity(sets[-1])) for p, t in enumerate(prefix)]
     columns.sort(key=lambda r: (r[0], r[1], r[3]))
     arrays = [np.array([r[k] for r in columns], dtype=np.int64) for k in range(9)]
-    arrays.append(np.frombuffer(b"".join(r[9] for r in columns), dtype=np.uint64).reshape(-1, 4))
+    arrays.append(np.frombuffer(b"".join(r[9] for r in columns), dtype=np.uint64).reshape(-1, jaccard_join.PARITY_BITS // 64))
     lists = jaccard_join.Lists(arrays, 85)
     got = {(min(a, b), max(a, b)) for x, y, _ in lists.found() for a, b in zip(lists.ids[x].tolist(), lists.ids[y].tolist())}
     want = {(i, j) for i in range(60) for j in range(i + 1, 60) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))}

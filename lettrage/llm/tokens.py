@@ -15,7 +15,7 @@ import numpy as np
 
 END_ID = 1
 #: Pieces kept per worker; beyond, the table starts anew before the next texts. It bounds memory and has no effect on results.
-KEPT = 1_000_000
+KEPT = 300_000
 #: Texts encoded at a time, and pieces given to the library at a time.
 TEXTS, TOGETHER = 64, 2000
 LETTERS_AND_MARKS = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)")

@@ -1,9 +1,9 @@
 """Benchmark decontamination by SimHash fingerprints of item-sized windows.
 
 Words are runs of letters, marks and digits in lower case; features are shingles of five words, with their number of
-occurrences as weight. An item's fingerprint has 128 bits. A window is as long as the item it is held against; only
-windows aligned at a shingle that the text shares with an item are formed, as any other has similarity 0 at that
-alignment. Equal windows are fingerprinted and compared once, however many documents hold them.
+occurrences as weight. An item's fingerprint has 128 bits. A window is as long as the item it is held against; all windows
+are formed in which so many positions hold shingles of items of that size as the similarity takes, in whatever order, as no
+other can reach it. Equal windows are fingerprinted and compared once, however many documents hold them.
 
 Fingerprints meet by multi-index blocks: two of them within ``RADIUS`` bits differ by at most three bits in one of eight
 blocks of 16 bits; items list each block with all changes of up to two bits and windows with up to one, so every such pair
@@ -97,20 +97,32 @@ def item_table(benchmark: DataFrame) -> DataFrame:
     return fingerprints(sized.withColumn("features", spelled(F.col("words"), F.col("width"))))
 
 
-def aligned_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``doc_id, body, size, width, start``: where a text and an item share a shingle, the window that aligns them."""
+def candidate_windows(docs: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
+    """``doc_id, body, size, width, start``: every window that holds enough shingles of the items of its size. Bags of a and
+    b shingles that reach the similarity s have s (a + b) / (1 + s) in common at least."""
     widths = sorted(r["width"] for r in items.select("width").distinct().collect())
     found = None
     for width in widths:
-        grams = items.filter(F.col("width") == width).select("size", F.posexplode(hashed(F.col("words"), width)).alias("place", "h")).distinct()
+        grams = items.filter(F.col("width") == width).select("size", F.explode(hashed(F.col("words"), width)).alias("h")).distinct()
         grams = F.broadcast(grams) if grams.count() <= BROADCAST_ROWS else grams
         rows = docs.select("doc_id", "body", F.size("words").alias("n"), F.posexplode(hashed(F.col("words"), width)).alias("pos", "h"))
-        start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("place"), F.col("n") - F.col("size")))
-        part = rows.join(grams, "h").select("doc_id", "body", "size", F.lit(width).alias("width"), start.alias("start"))
+        held = rows.join(grams, "h").groupBy("doc_id", "body", "n", "size").agg(F.sort_array(F.collect_set("pos")).alias("at"))
+        part = held.withColumn("width", F.lit(width))
         found = part if found is None else found.unionByName(part)
     if found is None:
         return docs.select("doc_id", "body", *[F.lit(0).alias(c) for c in ("size", "width", "start")]).filter("false")
-    return found.distinct()
+    whole, own = [least - F.col("width") + 1 for least in (F.col("size"), F.least("size", "n"))]
+    need = F.greatest(F.lit(1), F.ceil((whole + own) * F.lit(similarity / (1 + similarity)) - 1e-9).cast("int"))
+    enough = found.withColumns({"whole": whole, "need": need}).filter(F.size("at") >= F.col("need"))
+
+    def starts(i: Column) -> Column:
+        """The starts of windows whose first shared shingle is number ``i`` and that reach the one ``need`` - 1 further on."""
+        low = F.greatest(F.lit(0), F.get("at", i - 1) + 1, F.get("at", i + F.col("need") - 1) - F.col("whole") + 1)
+        high = F.least(F.get("at", i), F.greatest(F.lit(0), F.col("n") - F.col("size")))
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    firsts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("at") - F.col("need")))
+    return enough.select("doc_id", "body", "size", "width", F.explode(F.flatten(F.transform(firsts, starts))).alias("start"))
 
 
 def similarities(pairs: DataFrame) -> DataFrame:
@@ -129,7 +141,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     counted in words from 0."""
     items = stored(item_table(benchmark), "items")
     texts = documents(docs).filter(F.length("text") > 0).select("doc_id", F.xxhash64("text").alias("body"), words_of(F.col("text")).alias("words"))
-    spots = stored(aligned_windows(texts, items), "windows")
+    spots = stored(candidate_windows(texts, items, similarity), "windows")
     spot = spots.select(F.col("doc_id").alias("of"), F.col("body").alias("of_body"), "size", "width", "start")
     windows = texts.join(spot, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("body") == F.col("of_body"))).select(
         "doc_id", "size", "width", "start", F.slice(F.col("words"), F.col("start") + 1, F.col("size")).alias("window")

@@ -65,6 +65,21 @@ def test_planted_edits_and_defined_cases(spark):
     assert leaks(docs.filter("false"), bench) == {} and leaks(docs, bench.filter("false")) == {}
 
 
+def test_reordered_items_and_windows_between_alignments(spark):
+    item, short = [f"w{i}" for i in range(60)], [f"v{i}" for i in range(40)]
+    around = [[f"{side}{i}" for i in range(80)] for side in "ab"]
+    swapped = {
+        1: item[30:] + item[:30], 2: item[20:] + item[:20], 3: item[40:] + item[20:40] + item[:20], 4: short[20:] + short[:20], 5: short[25:] + short[:25],
+    }
+    texts = [(d, " ".join(around[0] + w + around[1])) for d, w in swapped.items()]
+    texts += [(6, " ".join(swapped[1])), (7, " ".join(swapped[1] + swapped[4] + item)), (7, " ".join(swapped[2][2:])), (8, " ".join(item[:50])), (8, " ".join(item[:50]))]
+    items = [(1, " ".join(item)), (2, " ".join(short)), (3, " ".join(around[1][:60]))]
+    docs, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = brute(texts, items)
+    assert {(1, 1), (2, 1), (6, 1), (4, 2), (7, 1)} <= set(want) and abs(want[1, 1] - 52 / 60) < 1e-9
+    assert {k: round(v, 9) for k, v in leaks(docs, bench).items()} == {k: round(v, 9) for k, v in want.items()}
+
+
 def test_fingerprints_within_the_radius_meet(spark):
     import random
 

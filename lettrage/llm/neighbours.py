@@ -6,6 +6,9 @@ range-partitions all curves by their keys; the sorted rows get their rank along
 reads the blocks that its window of ``SHARE`` of all vectors around its own rank touches, on every curve; the best of all
 windows are merged, and their scores are inner products in double precision.
 
+Equal vectors are one row of the index, with their least ``vec_id``s, as many as an answer can hold; what is found is spelled
+out into these ids, and every query that is a copy takes the answer of its vector, but for itself.
+
 Recall on vectors without structure needs windows in proportion to the table: with 14 curves and a tenth of the table per
 curve, windows cover about three quarters of it. Blocks have a fixed size, and blocks with many queries are dealt out in
 parts, so memory per task doesn't grow with the table.
@@ -34,6 +37,10 @@ BLOCK = 8192
 #: Queries of a block that one part takes.
 PART = 4096
 SEED = 20
+#: Copies of a vector are counted out in so many parts first.
+SALTS = 8
+#: Queries with equal vectors from which, and the share of all queries above which, their answer is broadcast to them.
+CROWD, CROWD_SHARE = 8, 0.001
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -104,8 +111,16 @@ def usable(vectors: DataFrame) -> DataFrame:
     return sized.groupBy("vec_id").agg(F.min("vector").alias("vector"))
 
 
+def least_ids(vectors: DataFrame, kept: int) -> DataFrame:
+    """``vector, ids``: every distinct vector with its least ``vec_id``s, ``kept`` at most, in order."""
+    few = vectors.select("vec_id", "vector", F.pmod(F.xxhash64("vec_id", F.lit("salt")), F.lit(SALTS)).alias("salt"))
+    for keys in (["vector", "salt"], ["vector"]):
+        few = few.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy("vec_id"))).filter(F.col("nth") <= kept).drop("nth")
+    return few.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+
+
 def ordered(vectors: DataFrame, curves: Curves) -> DataFrame:
-    """``curve, rank, vec_id, vector`` (bytes of doubles): every vector on every curve, ranked from 0 along it."""
+    """``curve, rank, vec_id, vector`` (bytes of doubles), ``asks``: every vector on every curve, ranked from 0 along it."""
     shared = vectors.sparkSession.sparkContext.broadcast(curves)
 
     def place(batches):
@@ -118,20 +133,21 @@ def ordered(vectors: DataFrame, curves: Curves) -> DataFrame:
                 data = pa.array([row.tobytes() for row in x], pa.binary())
                 for curve, keys in enumerate(shared.value.keys(x)):
                     number = pa.array(np.full(len(keys), curve, dtype=np.int32))
-                    yield pa.RecordBatch.from_arrays([number, pa.array(keys), batch.column(0), data], ["curve", "key", "vec_id", "vector"])
+                    columns = [number, pa.array(keys), batch.column(0), data, batch.column(2)]
+                    yield pa.RecordBatch.from_arrays(columns, ["curve", "key", "vec_id", "vector", "asks"])
 
-    keyed = vectors.mapInArrow(place, "curve int, key bigint, vec_id bigint, vector binary")
+    keyed = vectors.select("vec_id", "vector", "asks").mapInArrow(place, "curve int, key bigint, vec_id bigint, vector binary, asks boolean")
     dealt = keyed.repartitionByRange("curve", "key", "vec_id").sortWithinPartitions("curve", "key", "vec_id")
     rows = stored(dealt.withColumns({"part": F.spark_partition_id(), "row": F.monotonically_increasing_id()}), "curves")
     # One row per curve and partition: what a partition's rows of a curve add to their own places.
     parts = rows.groupBy("curve", "part").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = parts.select("curve", "part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("base"))
-    return rows.join(F.broadcast(bases), ["curve", "part"]).select("curve", (F.col("row") + F.col("base")).alias("rank"), "vec_id", "vector")
+    return rows.join(F.broadcast(bases), ["curve", "part"]).select("curve", (F.col("row") + F.col("base")).alias("rank"), "vec_id", "vector", "asks")
 
 
 def best_in_blocks(dealt: DataFrame, nearest: int) -> DataFrame:
-    """``query_id, vec_id, score`` of the nearest of each query in each block and curve. Rows come sorted by block with its
+    """``query_id, vec_id, score`` of the nearest of each query, itself included, in each block and curve. Rows come sorted by block with its
     vectors before its queries; queries are answered as they come."""
     def search(batches):
         import pyarrow as pa
@@ -142,7 +158,6 @@ def best_in_blocks(dealt: DataFrame, nearest: int) -> DataFrame:
         def answer(queries, asked):
             own_ids, own, small, scale = known
             rough = asked.astype(np.float32) @ small.T
-            rough[queries[:, None] == own_ids[None]] = -np.inf
             count = min(nearest, len(own_ids))
             least = np.partition(rough, len(own_ids) - count, axis=1)[:, len(own_ids) - count]
             margin = 1e-5 * np.linalg.norm(asked, axis=1) * scale
@@ -183,14 +198,18 @@ def best_in_blocks(dealt: DataFrame, nearest: int) -> DataFrame:
 def search(vectors: DataFrame, is_query: Column, nearest: int = NEAREST, curves: int = CURVES, share: float = SHARE, block: int = BLOCK) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``nearest`` best of every query's windows; ``is_query`` reads ``vec_id``."""
     fine = stored(usable(vectors), "vectors")
-    total = fine.count()
+    queries = fine.filter(is_query).select(F.col("vec_id").alias("query_id"), "vector")
+    asked = stored(queries.groupBy("vector").agg(F.count(F.lit(1)).alias("queries")), "query-vectors")
+    groups = least_ids(fine, nearest + 1).join(asked, "vector", "left")
+    groups = stored(groups.select(F.col("ids")[0].alias("vec_id"), "vector", "ids", F.col("queries").isNotNull().alias("asks"), "queries"), "distinct-vectors")
+    total = groups.count()
     empty = "query_id bigint, rank int, vec_id bigint, score double"
     if not total:
         return vectors.sparkSession.createDataFrame([], empty)
-    chosen = fine.filter(F.pmod(F.xxhash64("vec_id", F.lit("sample")), F.lit(1_000_000)) < 1_000_000 * min(1.0, SAMPLE / total))
-    sample = np.array([r["vector"] for r in chosen.select("vector").collect()] or [r["vector"] for r in fine.limit(1).collect()])
-    placed = stored(ordered(fine, Curves.fit(sample, curves)), "ranks")
-    asking = fine.filter(is_query).count()
+    chosen = groups.filter(F.pmod(F.xxhash64("vec_id", F.lit("sample")), F.lit(1_000_000)) < 1_000_000 * min(1.0, SAMPLE / total))
+    sample = np.array([r["vector"] for r in chosen.select("vector").collect()] or [r["vector"] for r in groups.limit(1).collect()])
+    placed = stored(ordered(groups, Curves.fit(sample, curves)), "ranks")
+    asking, asked_by = groups.agg(F.count("queries"), F.coalesce(F.sum("queries"), F.lit(0))).first()
     half, last = int(np.ceil(total * share / 2)), (total - 1) // block
     parts = max(1, -(-int(asking * (block + 2 * half) / total) // PART))
     own = placed.select(
@@ -198,12 +217,25 @@ def search(vectors: DataFrame, is_query: Column, nearest: int = NEAREST, curves:
         F.lit(0).alias("role"), "vec_id", "vector",
     )
     edge = lambda rank: F.greatest(F.lit(0), F.least(F.lit(last), F.floor(rank / block))).cast("int")
-    asked = placed.filter(is_query).select(
+    asked = placed.filter("asks").select(
         "curve", F.explode(F.sequence(edge(F.col("rank") - half), edge(F.col("rank") + half))).alias("block"),
         F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias("part"), F.lit(1).alias("role"), "vec_id", "vector",
     )
     dealt = own.unionByName(asked).repartition("curve", "block", "part").sortWithinPartitions("curve", "block", "part", "role", "vec_id")
-    found = best_in_blocks(dealt, nearest)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    best = found.withColumn("rank", F.dense_rank().over(order)).filter(F.col("rank") <= nearest).dropDuplicates(["query_id", "rank", "vec_id"])
-    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+    def best(found: DataFrame) -> DataFrame:
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return found.withColumn("rank", F.dense_rank().over(order)).filter(F.col("rank") <= nearest + 1)
+
+    found = stored(best(best_in_blocks(dealt, nearest + 1)).dropDuplicates(["query_id", "rank", "vec_id"]), "found")
+    copied = groups.filter(F.size("ids") > 1).select("vec_id", "ids")
+    spelled = found.join(copied, "vec_id", "left").select("query_id", "score", F.explode(F.coalesce("ids", F.array("vec_id"))).alias("vec_id"))
+    answers = best(spelled).groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("answer"))
+    answers = stored(answers.withColumnRenamed("query_id", "vec_id").join(groups.select("vec_id", "vector", "queries"), "vec_id").drop("vec_id"), "answers")
+    crowded = F.col("queries") > max(CROWD, asked_by * CROWD_SHARE)
+    crowds = F.broadcast(answers.filter(crowded).select("vector", "answer"))
+    rest = queries.join(F.broadcast(answers.filter(crowded).select("vector")), "vector", "left_anti").join(answers.filter(~crowded).select("vector", "answer"), "vector")
+    each = queries.join(crowds, "vector").unionByName(rest).select(
+        "query_id", F.posexplode(F.slice(F.filter("answer", lambda a: a["vec_id"] != F.col("query_id")), 1, nearest)).alias("at", "a")
+    )
+    return each.select("query_id", (F.col("at") + 1).alias("rank"), "a.vec_id", "a.score")

@@ -37,6 +37,30 @@ def test_recall_with_small_blocks(spark):
     assert hits / 2000 >= 0.9
 
 
+def test_copies_with_small_blocks(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(3000, 16))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[1::3], x[5:60:6] = x[1], x[0]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(7)
+    got = {}
+    for r in neighbours.search(rows, F.col("vec_id") % 10 == 0, block=64).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert sorted(got) == list(range(0, 3000, 10))
+    copies, hits, others = list(range(1, 3000, 3)), 0, 0
+    for q, found in got.items():
+        found.sort()
+        assert [r for r, _, _ in found] == list(range(1, 21)) and found == sorted(found, key=lambda r: (-r[2], r[1])) and q not in {v for _, v, _ in found}
+        if q % 3 == 1:
+            assert [v for _, v, _ in found] == [c for c in copies if c != q][:20]
+        else:
+            scores = (x * x[q]).sum(1)
+            scores[q] = -9
+            hits += len({v for _, v, _ in found} & set(np.lexsort((np.arange(3000), -scores))[:20].tolist()))
+            others += 20
+    assert hits / others >= 0.9
+
+
 def test_defined_cases(spark):
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, None), (3, [0.0, 0.0]), (4, [None, 1.0]), (5, [float("nan"), 1.0]), (6, [float("inf"), 0.0]),
             (7, [0.5, 0.5]), (8, []), (9, [1.0]), (20, [2.0, 0.0]), (0, [1.0, 0.0]), (0, [1.5, 0.0]), (40, None), (None, [1.0, 1.0])]

@@ -7,7 +7,9 @@
    position and are sorted by size; blocks of a list whose sizes or positions cannot reach the overlap are skipped whole.
 4. First pass: in each list and class of sizes, entries are held against the list's first only; every set keeps the
    pivot with which it shares most lists, and that pair is verified. A group of copies costs as many pairs as members.
-5. Second pass: only entries whose sets are not yet connected form pairs. Where both have an answer for the same pivot,
+5. Lists inside one component go whole. Those of more than ``LIST_ENTRIES`` are cut into blocks by size class and large
+   component, and each pair of blocks that these leave open is dealt out by itself, so no task holds more of a list.
+   Second pass: only entries whose sets are not yet connected form pairs. Where both have an answer for the same pivot,
    the pair's answer is bounded, and often decided, by the two known overlaps; parity bitmaps, as long as the sets are
    large, bound the rest. What remains is verified on whole sets. Pairs inside a component need no answer, as they cannot change it.
 
@@ -37,6 +39,8 @@ SHORT, LIST_BLOCK = 12, 256
 PARITY_BITS = 1024
 #: Entries held before their lists are compared.
 TOGETHER = 200_000
+#: Entries of one list that are held together, in expectation; longer lists are dealt out in pairs of blocks of half as many.
+LIST_ENTRIES = 100_000
 BROADCAST_IDS = 1_000_000
 MULTIPLIER, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 SETS = "doc_id bigint, n int, s1 bigint, s2 bigint, parity binary, digest binary, token bigint, repeats bigint"
@@ -279,16 +283,18 @@ def to_pivots(lists: DataFrame, percent: int) -> DataFrame:
 class Lists:
     """Consecutive inverted lists as columns, sorted by token, then size, and the pairs within them that stay open."""
 
-    def __init__(self, columns: list[np.ndarray], percent: int):
+    def __init__(self, columns: list[np.ndarray], percent: int, half: np.ndarray | None = None):
         self.token, self.n, self.pos, self.ids, self.comp, self.pivot, self.pivot_n, self.known, self.mixed, self.bits = columns
         self.percent = percent
+        #: 1 and 2 for the two blocks of a longer list, of which only pairs across are tried; 0 for whole lists.
+        self.half = np.zeros(len(self.token), dtype=np.int64) if half is None else half
 
     def open_pairs(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of the entries x and y the pairs that no bound rules out, and whether what is known proves their link."""
         na, nb, pa, pb = self.n[x], self.n[y], self.pos[x], self.pos[y]
         need = needed(na, nb, self.percent)
         most = np.minimum(pa, pb) + np.minimum(na - pa, nb - pb)
-        keep = (self.comp[x] != self.comp[y]) & (most >= need)
+        keep = (self.comp[x] != self.comp[y]) & (most >= need) & ((self.half[x] == 0) | (self.half[x] != self.half[y]))
         x, y, need = x[keep], y[keep], need[keep]
         differing = np.bitwise_count(self.bits[x] ^ self.bits[y]).sum(1).astype(np.int64)
         keep = (self.n[x] + self.n[y] - np.where(self.mixed[x] + self.mixed[y] > 0, 0, differing)) // 2 >= need
@@ -326,6 +332,7 @@ class Lists:
                 if min(self.pos[i:i_end].max(), self.pos[j:j_end].max()) + rest < needed(self.n[i], self.n[j], self.percent):
                     continue
                 apart = self.comp[i:i_end, None] != self.comp[None, j:j_end]
+                apart &= (self.half[i:i_end, None] == 0) | (self.half[i:i_end, None] != self.half[None, j:j_end])
                 if i == j:
                     apart = np.triu(apart, 1)
                 x, y = np.nonzero(apart)
@@ -333,6 +340,42 @@ class Lists:
                     yield self.open_pairs(x + i, y + j)
 
 
+def in_groups(lists: DataFrame, percent: int) -> DataFrame:
+    """The entries of lists with several components: ``token`` names what is compared together, a list or a pair of blocks of
+    one, and ``half`` the block. Linked sets are at most one size class apart."""
+    sizes = lists.groupBy("token").agg(F.count(F.lit(1)).alias("held"), F.min("comp").alias("least"), F.max("comp").alias("most"))
+    sizes = stored(sizes.filter("least < most").select("token", "held"), "open-lists")
+    number, longer = sizes.agg(F.count(F.lit(1)), F.count_if(F.col("held") > LIST_ENTRIES)).first()
+    short = sizes.filter(F.col("held") <= LIST_ENTRIES).select("token")
+    whole = lists.join(F.broadcast(short) if number <= BROADCAST_IDS else short, "token", "left_semi").withColumn("half", F.lit(0))
+    if not longer:
+        return whole
+    block = max(1, LIST_ENTRIES // 2)
+    size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) * (1 - 1e-9)).cast("int")
+    # Both tables have fewer rows than the lists have entries by a factor of ``block``.
+    long = lists.join(F.broadcast(sizes.filter(F.col("held") > LIST_ENTRIES).select("token")), "token").withColumn("size_class", size_class)
+    large = stored(long.groupBy("token", "comp").count().filter(F.col("count") > block).select("token", "comp"), "large-components")
+    long = long.join(F.broadcast(large.withColumn("large", F.lit(True))), ["token", "comp"], "left")
+    long = long.withColumns({"large": F.coalesce("large", F.lit(False)), "owner": F.when(F.col("large"), F.col("comp")).otherwise(0)})
+    cell = ["token", "large", "owner", "size_class"]
+    cells = long.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    cells = stored(cells, "list-cells")
+    order = Window.partitionBy("token").orderBy(*cell[1:], "k")
+    blocks = cells.select(*cell, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("k")).withColumn("number", F.row_number().over(order))
+    blocks = stored(blocks, "list-blocks")
+    other = blocks.select(F.col("token").alias("of"), *[F.col(c).alias(f"other_{c}") for c in ("large", "owner", "size_class", "number")])
+    meet = (
+        (F.col("token") == F.col("of")) & (F.abs(F.col("size_class") - F.col("other_size_class")) <= 1)
+        & ~(F.col("large") & F.col("other_large") & (F.col("owner") == F.col("other_owner")))
+    )
+    group = F.xxhash64("token", F.least("number", "other_number"), F.greatest("number", "other_number"))
+    half = F.when(F.col("number") == F.col("other_number"), 0).when(F.col("number") < F.col("other_number"), 1).otherwise(2)
+    deals = blocks.join(other, meet).groupBy(*cell, "k").agg(F.collect_list(F.struct(group.alias("group"), half.alias("half"))).alias("deals"))
+    placed = long.join(F.broadcast(cells), cell).withColumn("k", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = placed.join(F.broadcast(stored(deals, "list-deals")), [*cell, "k"]).select(*[c for c in lists.columns if c != "token"], F.explode("deals").alias("deal"))
+    return whole.unionByName(dealt.select("*", F.col("deal.group").alias("token"), F.col("deal.half").alias("half")).drop("deal"))
+
+
 def unconnected_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """``a, b, sure``: pairs of sets in different components that share a list and that no bound rules out; ``sure`` pairs
     link by what is known of their common pivot. Ids with several texts have no bounds (``known`` -1, ``mixed`` 1)."""
@@ -340,7 +383,8 @@ def unconnected_pairs(lists: DataFrame, percent: int) -> DataFrame:
         import pyarrow as pa
 
         def finish(parts):
-            lists = Lists([np.concatenate(c) for c in zip(*parts)], percent)
+            *columns, half, bits = [np.concatenate(c) for c in zip(*parts)]
+            lists = Lists([*columns, bits], percent, half)
             for x, y, sure in lists.found():
                 a, b = lists.ids[x], lists.ids[y]
                 if len(a):
@@ -364,7 +408,7 @@ def unconnected_pairs(lists: DataFrame, percent: int) -> DataFrame:
         if held:
             yield from finish(held)
 
-    columns = ["token", "n", "pos", "id", "comp", "pivot", "pivot_n", "known", "mixed", "parity"]
+    columns = ["token", "n", "pos", "id", "comp", "pivot", "pivot_n", "known", "mixed", "half", "parity"]
     dealt = lists.select(columns).repartition("token").sortWithinPartitions("token", "n", "id")
     return dealt.mapInArrow(read, "a bigint, b bigint, sure boolean").groupBy("a", "b").agg(F.max("sure").alias("sure"))
 
@@ -396,11 +440,13 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     known = first.groupBy(F.col("a").alias("id")).agg(
         F.first("b").alias("pivot"), F.min("nb").alias("pivot_n"), F.max("overlap").alias("known"), F.count(F.lit(1)).alias("answers")
     )
+    placed = lists.join(near.select(F.col("node").alias("id"), "component"), "id", "left")
+    placed = stored(placed.select("token", "n", "pos", "id", F.coalesce("component", "id").alias("comp")), "placed-lists")
     listed = (
-        lists.join(near.select(F.col("node").alias("id"), "component"), "id", "left").join(known, "id", "left").join(about.select("id", "parity", "mixed"), "id")
-        .select("token", "n", "pos", "id", F.coalesce("component", "id").alias("comp"), F.coalesce("pivot", F.lit(0)).alias("pivot"),
+        in_groups(placed, percent).join(known, "id", "left").join(about.select("id", "parity", "mixed"), "id")
+        .select("token", "n", "pos", "id", "comp", F.coalesce("pivot", F.lit(0)).alias("pivot"),
                 F.coalesce("pivot_n", F.lit(0)).alias("pivot_n"),
-                F.when((F.col("answers") == 1) & (F.col("mixed") == 0), F.col("known")).otherwise(-1).alias("known"), "mixed", "parity")
+                F.when((F.col("answers") == 1) & (F.col("mixed") == 0), F.col("known")).otherwise(-1).alias("known"), "mixed", "half", "parity")
     )
     open_pairs = stored(unconnected_pairs(listed, percent), "open-pairs")
     unsure = stored(plausible(open_pairs.filter("not sure"), about, percent), "unsure-pairs")

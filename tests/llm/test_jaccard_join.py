@@ -53,6 +53,31 @@ def test_copies_chains_and_defined_cases(spark, monkeypatch):
     assert groups(docs.filter("false")) == []
 
 
+def test_long_lists_are_dealt_out_in_bounded_groups(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LIST_ENTRIES", 40)
+    rng = np.random.default_rng(2)
+    # List 1: a component of 300 and 60 others of two sizes; 2: one component; 3: short; 4: all components differ.
+    rows = [(1, int(rng.integers(100, 110)), 0, i, 7 if i < 300 else i) for i in range(330)] + [(1, 105 if i % 2 else 900, 0, i, i) for i in range(330, 360)]
+    rows += [(2, 100, 0, i, 7) for i in range(200)] + [(3, 100, 0, i, i) for i in range(20)] + [(4, int(n), 0, 1000 + i, i) for i, n in enumerate(rng.integers(80, 130, 150))]
+    lists = spark.createDataFrame(rows, "token long, n int, pos int, id long, comp long").repartition(3)
+    dealt = {}
+    for r in jaccard_join.in_groups(lists, 85).collect():
+        dealt.setdefault(r["token"], []).append((r["id"], r["n"], r["comp"], r["half"]))
+    assert max(map(len, dealt.values())) <= 80 and 2 not in dealt and len(dealt[3]) == 20
+    met = [
+        (min(a[0], b[0]), max(a[0], b[0])) for g, rows_ in dealt.items() if g != 3
+        for k, a in enumerate(rows_) for b in rows_[:k] if a[2] != b[2] and (a[3] == 0 or a[3] != b[3])
+    ]
+    for token in (1, 4):
+        of = [r for r in rows if r[0] == token]
+        want = {(x[3], y[3]) for x in of for y in of if x[3] < y[3] and x[4] != y[4] and 100 * min(x[1], y[1]) >= 85 * max(x[1], y[1])}
+        assert want <= set(met)
+    texts = [(i, " ".join([f"w{k}" for k in range(60)][: 60 - i % 3] + [f"x{i % 9}"] * (i % 5))) for i in range(90)] + [(100 + i, f"a{i} b c d e f") for i in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(jaccard_join, "LIST_ENTRIES", 6)
+    assert groups(docs) == brute(texts, 4, 85)
+
+
 def test_prefix_of_ordered_sets_is_complete():
     rng = np.random.default_rng(1)
     order = jaccard_join.Order.of([(int(t), int(n)) for t, n in zip(np.arange(0, 40, 3), rng.integers(1, 5, 14))])

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lettrage.llm import chat_format, decontaminate, jaccard_join, language, line_dedup, neighbours, packing, pii, secret_scan, token_files
+from lettrage.llm import (
+    chat_format, decontaminate, fill_in_middle, filter_audit, jaccard_join, language, license_scan, line_dedup, neighbours, packing, pii,
+    secret_scan, token_files,
+)
 from lettrage.llm.shared import documents, shared_folder
 from lettrage.llm.spans import joined
 
@@ -151,3 +154,65 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
 @query("op5_neighbours")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.search(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+AUDIT_SQL = r"""
+WITH docs AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+worded AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM docs),
+marks AS (SELECT doc_id AS of, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+judged AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, {
+    'A': len(w) < 100, 'B': 100 * len(list_distinct(w)) < 80 * len(w), 'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t),
+    'D': regexp_matches(t, '[#$%&*|]'), 'E': coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)} AS f
+  FROM worded LEFT JOIN marks ON doc_id = of),
+cells AS (
+  SELECT part, good, toxic, concat(CASE WHEN f.A THEN 'A' END, CASE WHEN f.B THEN 'B' END, CASE WHEN f.C THEN 'C' END, CASE WHEN f.D THEN 'D' END,
+    CASE WHEN f.E THEN 'E' END) AS failed, count(*) AS n FROM judged GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.l NOT IN (b.l, c.l, d.l, e.l) AND b.l NOT IN (c.l, d.l, e.l) AND c.l NOT IN (d.l, e.l) AND d.l <> e.l),
+steps AS (SELECT filter_order, step, filter_order[step] AS letter, left(filter_order, step - 1) AS before FROM orders, range(1, 6) r(step)),
+placed AS (
+  SELECT part, filter_order, step::INTEGER AS step, letter, good, toxic, failed, n, contains(failed, letter) AS fails,
+    translate(before, failed, '') <> before AS gone FROM cells, steps),
+report AS (
+  SELECT part, filter_order, step, letter, coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (fails AND NOT gone), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (fails AND gone), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (failed = letter), 0)::BIGINT AS unique_fails, coalesce(sum(n) FILTER (fails AND NOT gone AND good), 0)::BIGINT AS good_lost,
+    coalesce(sum(n) FILTER (fails AND NOT gone AND toxic), 0)::BIGINT AS toxic_lost FROM placed GROUP BY ALL)
+SELECT * EXCLUDE (letter), (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM report"""
+
+
+@query("op11_filter_audit", AUDIT_SQL)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.failures(table(spark, sf, "documents")), table(spark, sf, "labels"))
+
+
+MIDDLE_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w FROM documents),
+hashed AS (
+  SELECT doc_id, t, w, len(w) AS n, ('0x' || h[1:8])::BIGINT % (len(w) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(w) + 1) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 50 THEN 'plain'
+      WHEN ('0x' || h[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM docs),
+pieces AS (
+  SELECT *, array_to_string(w[1:least(a, b)], '') AS p, array_to_string(w[least(a, b) + 1:greatest(a, b)], '') AS m,
+    array_to_string(w[greatest(a, b) + 1:], '') AS s FROM hashed)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM pieces"""
+
+
+@query("op12_fill_in_middle", MIDDLE_SQL)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    rows = fill_in_middle.restored(fill_in_middle.to_fill_in_middle(table(spark, sf, "documents")))
+    return rows.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256")
+    )
+
+
+@query("op13_license_scan")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan.digests(license_scan.find_licenses(table(spark, sf, "documents")))

@@ -12,7 +12,7 @@ from lettrage.operators import names, overlap, period as per, selections as sel
 
 from . import views as v
 from .registry import query
-from .sql import FROM, SOURCES, TO, recon, with_
+from .sql import CLOSEST, FROM, SOURCES, TO, recon, with_
 
 PERIOD = lambda spark: per.manual_period(spark, *v.PERIOD)
 
@@ -348,10 +348,15 @@ def _(spark, sf):
     )
 
 
-@query("closest_name_ratio")
+@query("closest_name_ratio", with_("RECURSIVE " + recon() + CLOSEST, """
+  SELECT invoice_number, erp_date, customer_name, upper(customer_name) AS normalized_customer_name, amount_erp, status,
+    near AS closest_reference_name, score AS closest_reference_similarity,
+    CASE WHEN score IS NULL THEN 'Référentiel RCI indisponible pour comparaison'
+      WHEN score >= 0.8 THEN 'Nom proche du référentiel RCI - vérifier une différence de libellé'
+      ELSE 'Aucun reclassement automatique - validation métier nécessaire' END AS commentaire_audit
+  FROM recon LEFT JOIN closest ON folded = upper(customer_name) WHERE status = 'HORS_SCOPE_RCI'"""))
 def _(spark, sf):
-    listed = cov.coverage_values(v.coverage_list(spark, sf), ["code"], ["nom"]).filter("kind = 'name'").select("value")
-    return names.out_of_scope_audit(reconciled(spark, sf), listed)
+    return names.out_of_scope_audit(reconciled(spark, sf), v.listed_names(spark, sf))
 
 
 # ---------------------------------------------------------------- selections

@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 
 from lettrage.functions import fixed as fx
 from lettrage.operators import matching as m
-from lettrage.operators import selections as sel
+from lettrage.operators import names, selections as sel
 from lettrage.plans import audit, dashboard as dash, missing, summary as summ
 from lettrage.sources import exports, history as hist
 
 from . import views as v
 from .q_matching import PERIOD, covered_erp, period_sources, reconciled
 from .registry import query, scratch
-from .sql import FROM, TO, recon, with_
+from .sql import CLOSEST, FROM, TO, recon, with_
 
 R = recon()
 
@@ -196,11 +196,17 @@ _SUGGEST = """
       CAST(sum(round(abs(amount_erp) * 100)) AS BIGINT) / 100.0 AS montant_total_erp
     FROM recon WHERE status = 'HORS_SCOPE_RCI' GROUP BY customer_name)
 """
-query("reference_suggestions", with_(R + _SUGGEST, """
-  SELECT customer_name, nombre_factures, montant_total_erp, '' AS closest_reference_name, '' AS closest_reference_similarity,
-    'Vérifier si le concessionnaire doit être ajouté au référentiel RCI.' AS suggestion_action FROM sugg"""))(
-    lambda spark, sf: missing.reference_suggestions(reconciled(spark, sf))
-)
+
+
+def suggestions(spark, sf):
+    return missing.reference_suggestions(names.out_of_scope_audit(reconciled(spark, sf), v.listed_names(spark, sf)))
+
+
+query("reference_suggestions", with_("RECURSIVE " + R + CLOSEST + _SUGGEST, """
+  SELECT customer_name, nombre_factures, montant_total_erp, COALESCE(near, '') AS closest_reference_name,
+    COALESCE(CAST(score AS VARCHAR), '') AS closest_reference_similarity,
+    'Vérifier si le concessionnaire doit être ajouté au référentiel RCI.' AS suggestion_action
+  FROM sugg LEFT JOIN closest ON folded = upper(customer_name)"""))(suggestions)
 
 # ---------------------------------------------------------------- indicators and dashboard
 
@@ -308,7 +314,7 @@ query("top_customers_count", with_(R, """
   FROM (SELECT * FROM sugg ORDER BY nombre_factures DESC, customer_name LIMIT 10)
   UNION ALL SELECT 'amount', customer_name, montant_total_erp FROM (SELECT * FROM sugg ORDER BY montant_total_erp DESC, customer_name LIMIT 10)"""))
 def _(spark, sf):
-    found = missing.reference_suggestions(reconciled(spark, sf))
+    found = suggestions(spark, sf)
     chart = lambda name, by: dash.top_out_of_scope(found, by).select(
         F.lit(name).alias("chart"), "customer", F.col(by).cast("double").alias("value")
     )

@@ -129,3 +129,28 @@ raw AS (
     '000' || CAST(c AS VARCHAR) AS code, CASE WHEN c % 4 = 0 THEN 'Société ' ELSE '' END || replace(name, '#', ' ') AS nom
   FROM base WHERE k % 23 <> 5)
 """
+
+
+def _longest(a: str, b: str) -> str:
+    """The longest substring of a that b holds, the first in a among equals, as 1000 * length - start; null if there is none."""
+    spans = f"flatten(list_transform(range(1, length({a}) + 1), lambda i: list_transform(range(1, length({a}) - i + 2), lambda n: [i, n])))"
+    return f"list_max(list_transform(list_filter({spans}, lambda x: contains({b}, substr({a}, x[1], x[2]))), lambda x: x[2] * 1000 - x[1]))"
+
+
+# The closest listed name of every out-of-scope customer: all pairs, matching blocks by recursion left and right of the longest one
+CLOSEST = f""",
+asked AS (SELECT DISTINCT upper(customer_name) AS folded FROM recon WHERE status = 'HORS_SCOPE_RCI'),
+listed AS (SELECT DISTINCT upper(c_name) AS name FROM customer WHERE c_custkey % 5 IN (3, 4)),
+seg(folded, name, a, b, code) AS (
+  SELECT folded, name, folded, name, {_longest('folded', 'name')} FROM asked, listed
+  UNION ALL
+  SELECT folded, name, a, b, {_longest('a', 'b')} FROM (
+    SELECT folded, name, unnest([left(a, i - 1), substr(a, i + n)]) AS a, unnest([left(b, j - 1), substr(b, j + n)]) AS b FROM (
+      SELECT *, strpos(b, substr(a, i, n)) AS j FROM (
+        SELECT *, (code + 999) // 1000 AS n, (code + 999) // 1000 * 1000 - code AS i FROM seg WHERE code IS NOT NULL)))
+  WHERE a <> '' AND b <> ''),
+scored AS (SELECT folded, name, 2.0 * sum((code + 999) // 1000) / (length(folded) + length(name)) AS score FROM seg GROUP BY folded, name HAVING score > 0),
+closest AS (
+  SELECT folded, min(name) AS near, round(any_value(score), 4) AS score
+  FROM scored JOIN (SELECT folded, max(score) AS score FROM scored GROUP BY folded) USING (folded, score) GROUP BY folded)
+"""

@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lettrage.operators import coverage as cov
+
 PERIOD = ("1996-01-01", "2000-12-31")
 
 
@@ -97,6 +99,11 @@ def coverage_list(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def listed_names(spark: SparkSession, sf: str) -> DataFrame:
+    """The folded names of the coverage list."""
+    return cov.coverage_values(coverage_list(spark, sf), ["code"], ["nom"]).filter("kind = 'name'").select("value")
+
+
 # ---------------------------------------------------------------- text forms
 
 def grouped_digits(cents: Column) -> Column:

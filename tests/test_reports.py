@@ -87,27 +87,50 @@ def test_dashboard_without_feed(spark):
     assert dash.kpi_dashboard(one).count() == 12
 
 
-def test_closest_names_against_brute_force(spark):
-    rng = random.Random(3)
-    word = lambda: "".join(rng.choice("ABCDE 12") for _ in range(rng.randint(3, 12))).strip() or "A"
-    customers, listed = sorted({word() for _ in range(60)}), sorted({word() for _ in range(80)})
-    names_block, names.BLOCK = names.BLOCK, 16  # several blocks and chunks
-    try:
-        found = {
-            r.customer: (r.closest_reference_name, r.closest_reference_similarity)
-            for r in names.closest_names(
-                spark.createDataFrame([(x,) for x in customers], "c string"), spark.createDataFrame([(x,) for x in listed], "n string")
-            ).collect()
-        }
-    finally:
-        names.BLOCK = names_block
+def closest(customers, listed):
+    out = {}
     for customer in customers:
         best, score = None, 0.0
-        for name in listed:
+        for name in sorted(listed):
             ratio = SequenceMatcher(None, customer, name).ratio()
             if ratio > score:
                 best, score = name, ratio
-        assert found.get(customer, (None, None)) == ((best, round(score, 4)) if best else (None, None))
+        if best:
+            out[customer] = best, round(score, 4)
+    return out
+
+
+def one_column(spark, values):
+    return spark.createDataFrame([(x,) for x in values], "value string")
+
+
+@pytest.mark.parametrize("part", [16, 4096])
+def test_closest_names_against_brute_force(spark, monkeypatch, part):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("ABCDE 12é汉") for _ in range(rng.randint(3, 12))).strip() or "A"
+    customers, listed = {word() for _ in range(60)}, {word() for _ in range(300)}
+    long = "LONG NAME OF A COMPANY " * 12
+    customers |= {"Z", "ZZ", "CUSTOMER 000012", long + "X", long[:70], "\U0001f600 A"}
+    listed |= {f"CUSTOMER {i:06}" for i in range(100, 260, 3)} | {long, long[5:150], "A" * 64, "A" * 63 + "B", "B" + "A" * 64}
+    monkeypatch.setattr(names, "PART", part)
+    rows = names.closest_names(one_column(spark, [*customers, None, "", *list(customers)[:9]]), one_column(spark, [*listed, None, "", *list(listed)[:9]])).collect()
+    assert len(rows) == len({r.customer for r in rows})
+    found = {r.customer: (r.closest_reference_name, r.closest_reference_similarity) for r in rows}
+    assert found == closest(customers, listed)
+
+
+def test_closest_names_of_empty_tables(spark):
+    some, none = one_column(spark, ["A"]), one_column(spark, [])
+    assert names.closest_names(some, none).count() == names.closest_names(none, some).count() == names.closest_names(none, none).count() == 0
+
+
+def test_verified_pairs_grow_with_the_customers_and_not_with_their_product(spark, monkeypatch):
+    monkeypatch.setattr(names, "PART", 256)
+    for scale in (1, 10):
+        listed = [f"CUSTOMER {i:09}" for i in range(600 * scale) if i % 5 in (3, 4)]
+        customers = [f"CUSTOMER {i:09}" for i in range(600 * scale) if i % 5 == 0]
+        found = names.search(one_column(spark, customers), one_column(spark, listed))
+        assert found.agg(F.sum("verified")).first()[0] <= 3 * len(customers)
 
 
 def test_history_append_is_idempotent(spark, tmp_path):
@@ -130,7 +153,7 @@ def test_full_run_writes_every_export(spark, sf, tmp_path):
     done.write(str(tmp_path / "out"))
     assert {p.name for p in (tmp_path / "out").iterdir()} == {
         "run_summary", "source_rows", "reconciliation", "missing", "reference_suggestions", "matching_overlap", "anomalies",
-        "batch", "batch_control", "history"}
+        "action_plan", "dealers", "out_of_period", "audit_dates", "audit_missing", "audit_out_of_scope", "batch", "batch_control", "history"}
     read = lambda name: spark.read.option("sep", ";").option("header", True).csv(str(tmp_path / "out" / name / "run_id=20260515_213000"))
     metrics = {r.metric: r.value for r in read("run_summary").collect()}
     assert int(metrics["reconciled_invoices"]) == sum(int(metrics[f"status_{n.lower()}"]) for n in fx.ANALYSED)

@@ -19,11 +19,11 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
+def stored(frame: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """The frame written once as Parquet in a shared folder and read back: lost executors cost a read, not the work."""
     spark = frame.sparkSession
     path = shared_folder(spark, name)
-    frame.write.parquet(path)
+    frame.write.parquet(path, compression=codec)
     return spark.read.schema(frame.schema).parquet(path)
 
 
@@ -38,16 +38,47 @@ BROADCAST_KEYS = 1_000_000
 
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """The documents, all columns, but for those in ``rejected``: by ``doc_id``, null included, and by ``body``, the hash of
-    the text, if that is a column of it. With few rejected rows, their number being counted, no text is shuffled."""
-    keys = stored(rejected.select(*[F.col(c).alias(f"rejected_{c}") for c in rejected.columns]).distinct(), "rejected")
-    if keys.count() <= BROADCAST_KEYS:
-        keys = F.broadcast(keys)
-    same = docs["doc_id"].cast("bigint").eqNullSafe(F.col("rejected_doc_id"))
-    if "body" in rejected.columns:
-        same = same & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("rejected_body"))
+    the text, if that is a column of it. With few rejected rows, their number being counted, no text is shuffled. The keys have
+    names of their own, so the documents may have columns of any name."""
+    own = {c: f"{c}-{uuid.uuid4().hex}" for c in rejected.columns}
+    keys = stored(rejected.distinct(), "rejected")
+    few = keys.count() <= BROADCAST_KEYS
+    keys = keys.select(*[F.col(c).alias(name) for c, name in own.items()])
+    keys = F.broadcast(keys) if few else keys
+    same = docs["doc_id"].cast("bigint").eqNullSafe(F.col(f"`{own['doc_id']}`"))
+    if "body" in own:
+        same = same & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col(f"`{own['body']}`"))
     return docs.join(keys, same, "left_anti")
 
 
+def release_memory() -> None:
+    """Give free memory of a Python worker back to the machine. Workers serve one task after another, and what one task's
+    peak has taken would otherwise stay with the worker while later stages need it."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
+
+
+def released(read):
+    """A function on Arrow batches that gives memory back when its task ends."""
+
+    def run(batches):
+        try:
+            yield from read(batches)
+        finally:
+            release_memory()
+
+    return run
+
+
 def prefix_sums(lengths: Column, block: int = 256) -> Column:
     """Running sums of an array of numbers, in blocks, so that long arrays cost little more than their length."""
     first = F.array(F.lit(0).cast("bigint"))

@@ -1,7 +1,8 @@
 """Token-id files: ids in ascending document order, coded with one canonical Huffman code of the whole corpus.
 
-1. Documents are tokenised once; their ids, compressed, go to a table in the shared folder.
-2. Every task counts its ids; the sum, one row per id of the vocabulary, gives code lengths of at most 16 bits.
+1. Documents are tokenised once; their ids go to a table in the shared folder, and beside them what every task has counted
+   of each id.
+2. The sum of the counts, one row per id of the vocabulary, gives code lengths of at most 16 bits.
 3. Each document's ids are coded, with a bit offset every ``EVERY`` ids. Coded documents are range-partitioned by id and
    sorted, and every partition writes its blocks. A block ends after the document with which it reaches ``BLOCK`` ids,
    and holds the bit streams, each from a byte's begin, and ids, token counts, stream lengths and offsets of its documents.
@@ -28,7 +29,9 @@ from lettrage.llm.tokens import default_vocabulary, encoded, vocabulary_size
 
 BLOCK = 1 << 16
 EVERY = 64
-IDS = "doc_id bigint, tie bigint, n bigint, ids binary"
+IDS = "doc_id bigint, tie bigint, n bigint, symbols array<bigint>, counts array<bigint>, ids binary"
+#: Ids counted at a time.
+COUNTED = 1 << 20
 CODED = "doc_id bigint, tie bigint, n bigint, offsets binary, bits binary"
 BLOCKS = (
     "shard int, block int, n_tokens bigint, doc_ids array<bigint>, counts array<bigint>, sizes array<bigint>, offsets binary, bits binary"
@@ -50,7 +53,7 @@ def in_batches(rows, schema: str, most: int = 1 << 22):
     held, size = [], 0
     for row in rows:
         held.append(row)
-        size += len(row[-1])
+        size += len(row[-1] or b"")
         if size >= most or len(held) >= 5000:
             yield batch_of(schema, zip(*held))
             held, size = [], 0
@@ -59,15 +62,26 @@ def in_batches(rows, schema: str, most: int = 1 << 22):
 
 
 def tokenised(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id, tie, n, ids``: 16-bit ids, or 32-bit ones for a larger vocabulary, in zlib's fastest form."""
-    kind = "<u2" if vocabulary_size(path) <= 1 << 16 else "<u4"
+    """``doc_id, tie, n, ids`` per document, with 16-bit ids, or 32-bit ones for a larger vocabulary; and one row per task
+    without ids: ``symbols``, the distinct ids of the task, and their ``counts``."""
+    size = vocabulary_size(path)
+    kind = "<u2" if size <= 1 << 16 else "<u4"
 
     def read(batches):
         def rows():
-            for batch in batches:
-                ties = iter(batch.column(2).to_pylist())
-                for (doc_id, ids), tie in zip(encoded([batch], path), ties):
-                    yield doc_id, tie, len(ids) // 4, zlib.compress(np.frombuffer(ids, dtype="<u4").astype(kind).tobytes(), 1)
+            total, held, waiting = np.zeros(size, dtype=np.int64), [], 0
+            for doc_id, tie, raw in encoded(batches, path):
+                ids = np.frombuffer(raw, dtype="<u4").astype(kind)
+                held.append(ids)
+                waiting += len(ids)
+                if waiting >= COUNTED:
+                    total += np.bincount(np.concatenate(held), minlength=size)
+                    held, waiting = [], 0
+                yield doc_id, tie, len(ids), None, None, ids.tobytes()
+            if held:
+                total += np.bincount(np.concatenate(held), minlength=size)
+            found = np.flatnonzero(total)
+            yield None, None, 0, found, total[found], None
 
         yield from in_batches(rows(), IDS)
 
@@ -75,28 +89,16 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
 
 
 def unpacked(ids: bytes, n: int) -> np.ndarray:
-    raw = zlib.decompress(ids)
-    return np.frombuffer(raw, dtype="<u2" if len(raw) == 2 * n else "<u4")
+    return np.frombuffer(ids, dtype="<u2" if len(ids) == 2 * n else "<u4")
 
 
 def id_counts(tokens: DataFrame, size: int) -> np.ndarray:
     """How often each id occurs in the whole corpus: one sum per id of the vocabulary."""
-    def count(batches):
-        total = np.zeros(size, dtype=np.int64)
-        for batch in batches:
-            for n, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                got = unpacked(ids, n)
-                if n > 10_000:
-                    total += np.bincount(got, minlength=size)
-                else:
-                    np.add.at(total, got, 1)
-        found = np.flatnonzero(total)
-        yield batch_of("id int, n bigint", (found, total[found]))
-
-    rows = tokens.select("n", "ids").mapInArrow(count, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    pairs = tokens.filter(F.col("ids").isNull()).select(F.inline(F.arrays_zip("symbols", "counts")))
+    rows = pairs.groupBy("symbols").agg(F.sum("counts").alias("n")).collect()
     counts = np.zeros(size, dtype=np.int64)
     for r in rows:
-        counts[r["id"]] = r["n"]
+        counts[r["symbols"]] = r["n"]
     return counts
 
 
@@ -113,14 +115,14 @@ def coded(tokens: DataFrame, lengths: np.ndarray) -> DataFrame:
 
         yield from in_batches(rows(), CODED)
 
-    return tokens.mapInArrow(code_up, CODED)
+    return tokens.filter(F.col("ids").isNotNull()).select("doc_id", "tie", "n", "ids").mapInArrow(code_up, CODED)
 
 
 def write(docs: DataFrame, folder: str, path: str | None = None) -> None:
     """Code the documents into ``folder``/blocks, and the code lengths into ``folder``/code."""
     path = path or default_vocabulary()
     spark = docs.sparkSession
-    tokens = stored(tokenised(docs, path), "token-ids")
+    tokens = stored(tokenised(docs, path), "token-ids", "zstd")
     lengths = huffman.code_lengths(id_counts(tokens, vocabulary_size(path)))
     spark.createDataFrame([(lengths.tobytes(),)], "lengths binary").coalesce(1).write.parquet(f"{folder}/code")
 

@@ -9,6 +9,7 @@ from lettrage.operators import matching as m
 from lettrage.operators import names, selections as sel
 from lettrage.plans import audit, dashboard as dash, missing, summary as summ
 from lettrage.sources import exports, history as hist
+from lettrage.sources.shared import stored
 
 from . import views as v
 from .q_matching import PERIOD, covered_erp, period_sources, reconciled
@@ -350,7 +351,7 @@ _HISTORY = """
   SELECT * REPLACE (CASE WHEN processing_date LIKE '1992%' THEN '' ELSE origin END AS origin,
     CASE WHEN processing_date LIKE '1992%' THEN '' ELSE due_date END AS due_date) FROM h1"""))
 def _(spark, sf):
-    rows, path = history(spark, sf), scratch(spark)
+    rows, path = stored(history(spark, sf), "history-rows"), scratch(spark)
     year = F.substring("processing_run_id", 1, 4).cast("int")
     older = rows.filter(year == 1992).dropDuplicates().drop("origin", "due_date")
     older.write.partitionBy("processing_run_id").parquet(path)
@@ -359,6 +360,15 @@ def _(spark, sf):
     return hist.read_history(spark, path)
 
 
+@query("latest_stored_run", with_(R + _HISTORY, "SELECT * FROM h1 WHERE processing_date = (SELECT max(processing_date) FROM h1)"))
+def _(spark, sf):
+    rows, path = stored(history(spark, sf), "history-rows"), scratch(spark)
+    year = F.substring("processing_run_id", 1, 4).cast("int")
+    hist.append_to(path, rows.filter(year >= 1996))
+    hist.append_to(path, rows.filter(year < 1996))
+    return hist.latest_stored_run(spark, path)
+
+
 query("latest_run_rows", with_(R + _HISTORY, """
   SELECT * FROM hist WHERE processing_run_id = (SELECT max(processing_run_id) FROM hist)"""))(
     lambda spark, sf: hist.latest_run(history(spark, sf))

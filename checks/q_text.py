@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from lettrage.functions import fixed as fx
@@ -17,6 +18,16 @@ from .sql import BASE, RAW, SOURCES, french, recon, with_
 # ---------------------------------------------------------------- files
 
 
+def titled(title: str):
+    """Every file of a text written by tasks begins with its title line."""
+
+    def lines(frames):
+        for i, frame in enumerate(frames):
+            yield pd.concat([pd.DataFrame({"value": [title]}), frame]) if i == 0 else frame
+
+    return lines
+
+
 # names with doubled quotes, delimiters and line ends; files of one name in two folders, with other column orders and
 # rows wider than their titles
 @query("scan_delimited", with_(RAW, """
@@ -34,11 +45,8 @@ def _(spark, sf):
     quoted = lambda c: F.coalesce(F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"')), F.lit(""))
     for side, order in enumerate(orders):
         wide = F.when((k % 3 == 0) & (k % 4 == 3), ";plus").otherwise("")
-        lines = rows.filter(k % 4 == 2 + side).select(F.concat(F.concat_ws(";", *[quoted(c) for c in order]), wide).alias("line"))
-        block = F.concat(F.lit(";".join(order) + "\n"), F.array_join(F.collect_list("line"), "\n"))
-        one = lines.groupBy().agg(block.alias("value")).withColumn("side", F.lit(side))
-        blocks = one if side == 0 else blocks.unionByName(one)
-    blocks.coalesce(1).write.partitionBy("side").text(f"{folder}/sides")
+        lines = rows.filter(k % 4 == 2 + side).repartition(4, "k").select(F.concat(F.concat_ws(";", *[quoted(c) for c in order]), wide).alias("value"))
+        lines.mapInPandas(titled(";".join(order)), "value string").write.text(f"{folder}/sides/side={side}")
     cells = text.read_delimited(spark, [f"{folder}/0", f"{folder}/1", f"{folder}/sides/side=0", f"{folder}/sides/side=1"])
     cells = cells.filter("row_idx > 0").withColumn("turned", F.contains(F.col("source_path"), F.lit("/side=1/")))
     at = lambda place: F.get("cells", F.lit(place))
@@ -47,6 +55,17 @@ def _(spark, sf):
     return named.withColumn("file", k.cast("bigint") % 4)
 
 
+@query("scan_any_delimiter", with_(RAW, "SELECT k % 3 AS file, CAST(k AS VARCHAR) AS k, facture, date_text, montant, nom FROM raw"))
+def _(spark, sf):
+    folder, columns = scratch(spark), ["k", "facture", "date_text", "montant", "nom"]
+    rows = v.erp_raw(spark, sf).select(columns)
+    for i, delimiter in enumerate("^~:"):
+        rows.filter(F.col("k") % 3 == i).write.options(sep=delimiter, header=True).csv(f"{folder}/{i}")
+    cells = text.read_delimited(spark, [f"{folder}/{i}" for i in range(3)]).filter("row_idx > 0")
+    named = cells.select(*[F.get("cells", F.lit(i)).alias(c) for i, c in enumerate(columns)])
+    return named.withColumn("file", F.col("k").cast("bigint") % 3)
+
+
 _FEED = SOURCES + """,
 feed AS (SELECT k, inv, kind, dt, c, file, amt, lpad(CAST(abs(amt) AS VARCHAR), 13, '0') AS field,
     COALESCE(strftime(dt, '%Y%m%d'), '        ') AS day FROM rci),
@@ -68,16 +87,18 @@ def _(spark, sf):
     return text.read_feed_lines(spark, folder).select("line")
 
 
-# files of 400 rows at most, so their number follows the table
+# one file per range of 4,000 and 3,000 keys, so their number follows the table
 @query("source_inventory", with_(RAW, """
-  SELECT 'erp' AS source_type, CAST(ceil(count(*) / 400.0) AS BIGINT) AS n_files, greatest(5 - CAST(ceil(count(*) / 400.0) AS BIGINT), 0) AS missing FROM raw
-  UNION ALL SELECT 'rci', CAST(ceil(count(*) / 300.0) AS BIGINT), greatest(4 - CAST(ceil(count(*) / 300.0) AS BIGINT), 0) FROM raw
+  , n AS (SELECT count(DISTINCT k // 4000) AS e, count(DISTINCT k // 3000) AS r FROM raw)
+  SELECT 'erp' AS source_type, e AS n_files, greatest(5 - e, 0) AS missing FROM n UNION ALL SELECT 'rci', r, greatest(4 - r, 0) FROM n
   UNION ALL SELECT 'pdf', 0, 1"""))
 def _(spark, sf):
-    folder, rows = scratch(spark), v.erp_raw(spark, sf).select("k", "facture").coalesce(1)
-    rows.write.options(header=True, maxRecordsPerFile=400).csv(f"{folder}/erp")
-    rows.select("facture").write.option("maxRecordsPerFile", 300).text(f"{folder}/rci")
-    rows.select("facture").write.text(f"{folder}/pdf")
+    folder, rows = scratch(spark), v.erp_raw(spark, sf).select("k", "facture")
+    keys = v.orders(spark, sf).agg(F.max("k").alias("k")).first()["k"]
+    dealt = lambda size: rows.repartitionById(keys // size + 1, F.floor(F.col("k") / size).cast("int"))
+    dealt(4000).write.option("header", True).csv(f"{folder}/erp")
+    dealt(3000).select("facture").write.text(f"{folder}/rci")
+    dealt(4000).select("facture").write.text(f"{folder}/pdf")
     extensions = {"erp": [".csv", ".xlsx"], "rci": [".TXT"], "pdf": [".pdf"]}
     return text.source_inventory(spark, folder, extensions, {"erp": 5, "rci": 4, "pdf": 1})
 

@@ -105,16 +105,16 @@ def _(spark, sf):
     return v.orders(spark, sf).select("k", s.signed(value, kind).alias("amount"))
 
 
-_HARD_NAMES = ["أحمد إبراهيم", "Йошкар Ёлка", "ﬁn ﬀ Ĳ", "Ａｂｃ　Ｄ", "Ελλάς Ά", "ザ ｶﾞ", "Łódź Øre", "x̨́y"]
-_FOLDED = ["احمد ابراهيم", "ИОШКАР ЕЛКА", "FIN FF IJ", "ABC D", "ΕΛΛΑΣ Α", "サ カ", "ŁODZ ØRE", "XY"]
+_HARD_NAMES = ["أحمد إبراهيم", "Йошкар Ёлка", "ﬁn ﬀ Ĳ", "Ａｂｃ　Ｄ", "Ελλάς Ά", "ザ ｶﾞ", "Łódź Øre", "x̨́y", "№ 5", "½ ㎏ …", "한글 각"]
+_FOLDED = ["احمد ابراهيم", "ИОШКАР ЕЛКА", "FIN FF IJ", "ABC D", "ΕΛΛΑΣ Α", "サ カ", "ŁODZ ØRE", "XY", "NO 5", "1⁄2 KG ...", "\u1112\u1161\u11ab\u1100\u1173\u11af \u1100\u1161\u11a8"]
 
 
 @query("fold_name", f"""
   SELECT c_custkey, upper(strip_accents('Société Étoile Ça ' || c_name)) AS name,
-    {_FOLDED!r}[1 + c_custkey % 8] || ' ' || c_custkey AS hard FROM customer""")
+    {_FOLDED!r}[1 + c_custkey % 11] || ' ' || c_custkey AS hard FROM customer""")
 def _(spark, sf):
     text = F.concat(F.lit("Société  Étoile Ça "), F.col("c_name"))
-    hard = F.get(F.array(*map(F.lit, _HARD_NAMES)), (F.col("c_custkey") % 8).cast("int"))
+    hard = F.get(F.array(*map(F.lit, _HARD_NAMES)), (F.col("c_custkey") % 11).cast("int"))
     return v.table(spark, sf, "customer").select(
         "c_custkey", s.folded_name(text).alias("name"), s.folded_name(F.concat_ws(" ", hard, F.col("c_custkey").cast("string"))).alias("hard")
     )

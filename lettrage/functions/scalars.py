@@ -155,7 +155,12 @@ def excel_serial(value) -> Column:
 
 
 _CLOCK = r"(?:[01][0-9]|2[0-3])(?::[0-5][0-9](?::[0-5][0-9](?:[.,][0-9]+)?)?)?(?:Z|[+-][0-9]{2}:?[0-9]{2})?"
-_ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:." + _CLOCK + ")?$"
+_BARE_CLOCK = r"(?:[01][0-9]|2[0-3])(?:[0-5][0-9](?:[0-5][0-9](?:[.,][0-9]+)?)?)?(?:Z|[+-][0-9]{2}:?[0-9]{2})?"
+_TIME = f"(?:(?s:.)(?:{_CLOCK}|{_BARE_CLOCK}))"
+_ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}" + _TIME + "?$"
+#: Without marks only with a time: eight digits alone are a serial number.
+_ISO_BARE = r"^[0-9]{8}" + _TIME + "$"
+_ISO_WEEK = r"^([0-9]{4})(?:-W([0-9]{2})(?:-([1-7]))?|W([0-9]{2})([1-7])?)" + _TIME + "?$"
 _DAY_FIRST = r"^[0-9]{1,2}([/.-])[0-9]{1,2}\1(?:[0-9]{4}|[0-9]{2})$"
 _YEAR_FIRST = r"^[0-9]{4}([/-])[0-9]{1,2}\1[0-9]{1,2}$"
 _YEAR_FIRST_CLOCK = (
@@ -170,6 +175,15 @@ def _full_year(year: Column) -> Column:
     )
 
 
+def iso_week_day(text: Column) -> Column:
+    """The day of a week of the ISO calendar, Monday if none is named: week 1 is the one with the year's first Thursday."""
+    group = lambda *n: F.coalesce(*[F.nullif(F.regexp_extract(text, _ISO_WEEK, i), F.lit("")) for i in n])
+    year, week, weekday = group(1), group(2, 4).cast("int"), F.coalesce(group(3, 5), F.lit("1")).cast("int")
+    fourth = F.concat(year, F.lit("-01-04")).try_cast("date")
+    day = F.date_add(fourth, week * 7 + weekday - 8 - F.weekday(fourth))
+    return F.when((week > 0) & (F.date_part(F.lit("YEAROFWEEK"), day) == year.cast("int")) & (year != "0000"), day)
+
+
 def date_value(value) -> Column:
     """Date of a text cell: Excel serial, ISO (time and zone dropped) or day-first forms."""
 
@@ -181,6 +195,8 @@ def date_value(value) -> Column:
             F.when(text.rlike(r"^[0-9]+(?:[.,][0-9]+)?$"), excel_serial(serial))
             .when(text.rlike(_DAY_FIRST), pieces(lambda d, m, y: _iso(_full_year(y), m, d)))
             .when(text.rlike(_ISO), F.when(~F.startswith(text, F.lit("0000")), F.substring(text, 1, 10).try_cast("date")))
+            .when(text.rlike(_ISO_BARE), _iso(F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)))
+            .when(text.rlike(_ISO_WEEK), iso_week_day(text))
             .when(year_first, pieces(_iso))
         )
 
@@ -240,7 +256,7 @@ def _folds() -> tuple[str, str, list[tuple[str, str]]]:
     syllables, and the characters that become several."""
     source, target, longer = [], [], []
     for point in range(0xA0, 0x30000):
-        if 0xAC00 <= point < 0xE000:
+        if _HANGUL <= point < 0xE000:
             continue
         char = chr(point)
         form = unicodedata.normalize("NFKD", char)
@@ -250,30 +266,49 @@ def _folds() -> tuple[str, str, list[tuple[str, str]]]:
         if len(plain) == 1:
             source.append(char)
             target.append(plain)
-        elif plain and unicodedata.category(char).startswith("L"):
+        elif plain:
             longer.append((char, plain))
     return "".join(source), "".join(target), longer
 
 
-def _combining() -> str:
-    """A pattern for runs of characters of which nothing is left without marks: those that change the one before them."""
-    points = {p for p in range(0x300, 0x30000) if all(map(unicodedata.combining, unicodedata.normalize("NFKD", chr(p))))}
+def _class(points: set[int]) -> str:
+    """A pattern for characters by ranges of their code points."""
     starts = sorted(p for p in points if p - 1 not in points)
     ends = sorted(p for p in points if p + 1 not in points)
-    return "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends)) + "]+"
+    return "[" + "".join(re.escape(chr(a)) + (f"-{re.escape(chr(b))}" if a < b else "") for a, b in zip(starts, ends)) + "]"
 
 
-_COMBINING = _combining()
+#: Composed Hangul syllables by code point: the first one, and how many begin, middle and end consonants and vowels make them up.
+_HANGUL, _BEGINS, _MIDDLES, _ENDS = 0xAC00, 19, 21, 28
+#: Runs of characters of which nothing is left without marks: those that change the one before them.
+_COMBINING = _class({p for p in range(0x300, 0x30000) if all(map(unicodedata.combining, unicodedata.normalize("NFKD", chr(p))))}) + "+"
 _FOLD_FROM, _FOLD_TO, _FOLD_LONGER = _folds()
-_LONGER_CLASS = "[" + "".join(re.escape(a) for a, _ in _FOLD_LONGER) + "]"
+_FOLD_TABLE = "\x00".join(["", *(a + b for a, b in _FOLD_LONGER), ""])
+_SEVERAL = _class({ord(a) for a, _ in _FOLD_LONGER} | set(range(_HANGUL, _HANGUL + _BEGINS * _MIDDLES * _ENDS)))
+
+
+def _syllable(char: Column) -> Column:
+    """The letters of a composed Hangul syllable, by arithmetic on its code point."""
+    index = F.ascii(char) - _HANGUL
+    letters = lambda first, n: F.lit("".join(map(chr, range(first, first + n))))
+    begin = F.substring(letters(0x1100, _BEGINS), F.floor(index / (_MIDDLES * _ENDS)).cast("int") + 1, F.lit(1))
+    middle = F.substring(letters(0x1161, _MIDDLES), F.floor(index / _ENDS).cast("int") % _MIDDLES + 1, F.lit(1))
+    end = F.when(index % _ENDS > 0, F.substring(letters(0x11A8, _ENDS - 1), index % _ENDS, F.lit(1))).otherwise("")
+    return F.concat(begin, middle, end)
 
 
 def _spelt_out(text: Column) -> Column:
-    """Characters whose compatibility form is several, such as ligatures, spelt out; few texts hold any."""
-    listed = lambda side: F.split(F.lit("\x00".join(pair[side] for pair in _FOLD_LONGER)), "\x00")
-    spelt = lambda c: F.coalesce(F.get(listed(1), F.array_position(listed(0), c).cast("int") - 1), c)
+    """Characters that become several, such as ligatures, signs, fractions and Hangul, spelt out; few texts hold any."""
+
+    def spelt(char: Column) -> Column:
+        at = F.instr(F.lit(_FOLD_TABLE), F.concat(F.lit("\x00"), char))
+        listed = F.substring_index(F.substring(F.lit(_FOLD_TABLE), at + 2, F.lit(32)), "\x00", 1)
+        code = F.ascii(char)
+        hangul = (code >= _HANGUL) & (code < _HANGUL + _BEGINS * _MIDDLES * _ENDS)
+        return F.when(hangul, _syllable(char)).when(at > 0, listed).otherwise(char)
+
     whole = F.array_join(F.transform(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), spelt), "")
-    return F.when(text.rlike(_LONGER_CLASS), whole).otherwise(text)
+    return F.when(text.rlike(_SEVERAL), whole).otherwise(text)
 
 
 def without_accents(value) -> Column:

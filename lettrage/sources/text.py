@@ -6,14 +6,21 @@ the rows inside one, however Spark packs the splits into tasks.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed as fx
 
 DELIMITERS = [";", ",", "\t", "|"]
+#: Tried where none of the above fits a file; characters that names and amounts hold are left out.
+RARE_DELIMITERS = list(":^~!#$*<=>?@[]`{}")
+#: How far, as a share of the title line's delimiters, the lines of a file may stray from it.
+STRAY = 0.75
 #: A row's index is its split's start in units of ``_BLOCK_BYTES``, then its row id: in order for splits of that size or more
 #: and files up to 4 TB.
 _ID_BITS = 33
@@ -47,9 +54,9 @@ def decoded(line: Column) -> Column:
     return F.regexp_replace(text, "^﻿", "")
 
 
-def text_rows(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """Lines with file path, file name and ``row_ord``."""
-    return spark.read.text(paths).select(
+def text_rows(spark: SparkSession, paths: list[str] | str, line_end: str | None = None) -> DataFrame:
+    """Lines with file path, file name and ``row_ord``; they end at any line end, or at the given one."""
+    return spark.read.text(paths, lineSep=line_end).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_name").alias("source_file"),
         F.struct(
@@ -70,35 +77,58 @@ _QUOTED = '(?s)"[^"]*"'
 
 def _fields(text: Column, delimiter: str) -> Column:
     """Number of fields of a record: delimiters outside quotes, and one."""
-    return F.regexp_count(F.regexp_replace(text, _QUOTED, ""), F.lit("[" + delimiter + "]")) + 1
+    return F.regexp_count(F.regexp_replace(text, _QUOTED, ""), F.lit("[" + ("\\" if delimiter in "^[]" else "") + delimiter + "]")) + 1
 
 
 def describe_delimited(spark: SparkSession, paths: list[str] | str, delimiters: list[str] = DELIMITERS) -> DataFrame:
-    """One row per file: first line, delimiter, widest line in fields, whether all of it is valid UTF-8, and whether a
-    quoted value goes on over a line end."""
-    rows = text_rows(spark, paths)
+    """One row per file: first line, delimiter, widest line in fields, how far the lines stray from the title line, whether
+    all of it is valid UTF-8, whether a quoted value goes on over a line end, and whether it has line ends of other kinds.
+
+    The delimiter is the one with most fields in the title line among those whose count per line strays from it by less than
+    ``STRAY`` of it, or among all if there is none: the root of the mean squared difference, from one sum and one sum of
+    squares per file and delimiter.
+    """
+    rows = text_rows(spark, paths, "\n")
     at_start = F.col("row_ord.block") == 0
+    returns = F.length("line") - F.length(F.replace("line", F.lit("\r"), F.lit("")))
+    rows = rows.withColumn("odd_end", returns > F.endswith("line", F.lit("\r")).cast("int"))
     quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
-    widths = [F.max(_fields(F.col("line"), d)).alias(f"width_{i}") for i, d in enumerate(delimiters)]
+    filled = F.trim("line", F.lit(" \r")) != ""
+    found = []
+    for i, d in enumerate(delimiters):
+        n = F.when(filled, _fields(F.col("line"), d) - 1).cast("double")
+        found += [F.max(_fields(F.col("line"), d)).alias(f"width_{i}"), F.sum(n).alias(f"sum_{i}"), F.sum(n * n).alias(f"squares_{i}")]
     files = rows.groupBy("path", "source_file").agg(
         F.min_by("line", F.when(at_start, F.col("row_ord"))).alias("first_line"),
-        F.bool_and(F.is_valid_utf8("line")).alias("utf8"), F.bool_or(quotes % 2 == 1).alias("multi"), *widths,
+        F.bool_and(F.is_valid_utf8("line")).alias("utf8"), F.bool_or(quotes % 2 == 1).alias("multi"), F.bool_or("odd_end").alias("odd_end"),
+        F.count_if(filled).alias("lines"), *found,
     )
-    counted = [
-        F.struct(_fields(F.col("header"), d).alias("n"), F.lit(-i).alias("rank"), F.lit(d).alias("d"), F.col(f"width_{i}").alias("width"))
-        for i, d in enumerate(delimiters)
-    ]
-    chosen = F.greatest(*counted)
-    return files.withColumn("header", decoded(F.col("first_line"))).select(
-        "path", "source_file", "header", "utf8", "multi", chosen["d"].alias("delimiter"), chosen["width"].alias("width")
+
+    def judged(i: int, d: str) -> Column:
+        n, lines = _fields(F.col("header"), d), F.col("lines")
+        h = (n - 1).cast("double")
+        squares = F.col(f"squares_{i}") - 2 * h * F.col(f"sum_{i}") + lines * h * h
+        stray = F.when((h > 0) & (lines > 0), F.sqrt(F.greatest(squares, F.lit(0.0)) / lines) / h).otherwise(1.0)
+        return F.struct(
+            (stray < STRAY).alias("steady"), n.alias("n"), F.lit(-i).alias("rank"), F.lit(d).alias("d"), F.col(f"width_{i}").alias("width"), stray.alias("stray")
+        )
+
+    judgements = [judged(i, d) for i, d in enumerate(delimiters)]
+    chosen = F.greatest(*judgements) if len(judgements) > 1 else judgements[0]
+    return files.withColumn("header", F.rtrim(decoded(F.col("first_line")), F.lit("\r"))).select(
+        "path", "source_file", "header", "utf8", "multi", "odd_end", "lines", chosen["d"].alias("delimiter"), chosen["width"].alias("width"),
+        chosen["stray"].alias("stray"),
     )
 
 
+def _options(delimiter: str, width: int) -> dict:
+    return {"sep": delimiter, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "maxColumns": max(20480, width + 1)}
+
+
 def _csv(spark: SparkSession, paths: list[str], delimiter: str, utf8: bool, multi: bool, width: int, header: bool, bad: bool = False) -> DataFrame:
     schema = ", ".join([f"c{i} string" for i in range(width)] + ["bad string"] * bad)
-    options = {
-        "sep": delimiter, "quote": '"', "escape": '"', "header": header, "enforceSchema": True, "mode": "PERMISSIVE", "multiLine": multi,
-        "maxColumns": max(20480, width + 1), "encoding": "UTF-8" if utf8 else "ISO-8859-1",
+    options = _options(delimiter, width) | {
+        "header": header, "enforceSchema": True, "multiLine": multi, "encoding": "UTF-8" if utf8 else "ISO-8859-1",
     }
     if bad:
         options["columnNameOfCorruptRecord"] = "bad"
@@ -113,39 +143,195 @@ def _widest_record(spark: SparkSession, paths: list[str], delimiter: str, utf8:
     return max(width, (sized.agg(F.max("record").alias("record")).first()["record"] or {"n": 0})["n"])
 
 
+# ---------------------------------------------------------------- records over line ends
+
+
+class QuoteState:
+    """What a line does to the state at its start: outside a quoted value (0) or inside one (1)."""
+
+    def __init__(self, delimiter: str):
+        d = re.escape(delimiter)
+        field = f'(?:"(?:[^"]|"")*+"[^{d}]*+|[^"{d}][^{d}]*+|)'
+        self.opened = re.compile(f'(?:{field}{d})*+"(?:[^"]|"")*+$')
+        self.closing = re.compile(f'(?:[^"]|"")*+"[^{d}]*+')
+
+    def after(self, state: int, line: str) -> int:
+        if '"' not in line:
+            return state
+        start = 0
+        if state:
+            closed = self.closing.match(line)
+            if not closed:
+                return 1
+            start = closed.end() + 1
+            if start > len(line):
+                return 0
+        return int(self.opened.match(line[start:] if start else line) is not None)
+
+
+_SPLIT = "path string, block bigint, from0 int, from1 int"
+_FRAGMENT = "path string, source_file string, block bigint, place bigint, part int, text string"
+WHOLE, HEAD, MIDDLE, TAIL = range(4)
+
+
+def _lines(spark: SparkSession, paths: list[str], utf8: bool = True) -> DataFrame:
+    """Lines in reading order, as read and without a carriage return; those of one file and block are one split, in one task."""
+    line = F.col("line") if utf8 else from_single_byte(F.decode(F.col("line").cast("binary"), "ISO-8859-1"))
+    rows = text_rows(spark, paths, "\n").withColumn("line", line)
+    return rows.select("path", "source_file", "row_ord.block", "line", F.regexp_replace("line", "\r$", "").alias("bare"))
+
+
+def inside_quotes(spark: SparkSession, paths: list[str], delimiter: str, utf8: bool = True) -> list[tuple[str, int]]:
+    """The splits (path, block) that begin inside a quoted value. Every split computes what it does to both states; one
+    row per split, in order, then gives the state at its start. Lines without quotes change no state and don't leave the scan."""
+    rule = QuoteState(delimiter)
+
+    def effect(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        split, ends = None, [0, 1]
+        for frame in frames:
+            for path, block, line in zip(frame["path"], frame["block"], frame["bare"]):
+                if (path, block) != split:
+                    if split:
+                        yield pd.DataFrame([(*split, *ends)], columns=["path", "block", "from0", "from1"])
+                    split, ends = (path, block), [0, 1]
+                ends = [rule.after(ends[0], line), rule.after(ends[1], line)] if ends[0] != ends[1] else [rule.after(ends[0], line)] * 2
+        if split:
+            yield pd.DataFrame([(*split, *ends)], columns=["path", "block", "from0", "from1"])
+
+    lines = _lines(spark, paths, utf8)
+    quoted = lines.filter(F.contains("bare", F.lit('"'))).select("path", "block", "bare").mapInPandas(effect, _SPLIT)
+    # a split without quotes keeps the state, and begins like the next one: every block of a file needs a row
+    blocks = lines.select("path", "block").distinct().join(quoted, ["path", "block"], "left")
+    known = blocks.select("path", "block", F.coalesce("from0", F.lit(0)).alias("from0"), F.coalesce("from1", F.lit(1)).alias("from1"))
+    # one row per split of a file, as many as the driver lists when it plans the scan; the last split that leads to one state
+    # whatever it begins with, and the number of changes after it, give the state
+    order = Window.partitionBy("path").orderBy("block")
+    flip = F.when(F.col("from0") > F.col("from1"), 1).otherwise(0)
+    counted = known.withColumn("flips", F.sum(flip).over(order))
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    fixed = F.last(F.when(F.col("from0") == F.col("from1"), F.struct("from0", "flips")), ignorenulls=True).over(before)
+    placed = counted.withColumns({"fixed": fixed, "earlier": F.coalesce(F.max("flips").over(before), F.lit(0))})
+    state = (F.coalesce("fixed.from0", F.lit(0)) + F.col("earlier") - F.coalesce("fixed.flips", F.lit(0))) % 2
+    inside = placed.filter(state == 1).select("path", "block")
+    return [(r["path"], r["block"]) for r in inside.toLocalIterator()]
+
+
+def records_over_lines(spark: SparkSession, paths: list[str], delimiter: str, utf8: bool = True) -> DataFrame:
+    """``path, source_file, block, place, text``: the records of files whose quoted values go over line ends, read in splits.
+    A split puts its own lines together; what it has of a record that began or goes on in another split is joined by order
+    of the splits, which only moves these pieces."""
+    rule, inside = QuoteState(delimiter), set(inside_quotes(spark, paths, delimiter, utf8))
+
+    def assemble(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        split, name, state, held, first, number, began = None, None, 0, [], 0, 0, False
+
+        def finished(last: bool) -> list:
+            if not held and not began:
+                return []
+            kind = (MIDDLE if began else TAIL) if last else (HEAD if began else WHOLE)
+            return [(split[0], name, split[1], first, kind, "\n".join(held))]
+
+        for frame in frames:
+            rows = []
+            for path, source, block, line, bare in zip(frame["path"], frame["source_file"], frame["block"], frame["line"], frame["bare"]):
+                if (path, block) != split:
+                    if split and (held or began):
+                        rows += finished(True)
+                    split, name, number, first, held = (path, block), source, 0, 0, []
+                    began = (path, block) in inside
+                    state = int(began)
+                state = rule.after(state, bare)
+                held.append(line if state else bare)
+                number += 1
+                if not state:
+                    if began or held != [""]:
+                        rows += finished(False)
+                    held, first, began = [], number, False
+            yield pd.DataFrame(rows, columns=["path", "source_file", "block", "place", "part", "text"])
+        if split and (held or began):
+            yield pd.DataFrame(finished(True), columns=["path", "source_file", "block", "place", "part", "text"])
+
+    pieces = _lines(spark, paths, utf8).select("path", "source_file", "block", "line", "bare").mapInPandas(assemble, _FRAGMENT)
+    columns = ["path", "source_file", "block", "place", "text"]
+    # at most two pieces per split: a record's end from the split before, and the begin of one that goes on
+    order = Window.partitionBy("path").orderBy("block", "place")
+    owned = pieces.filter(F.col("part") != WHOLE).withColumn("owner", F.count_if(F.col("part") == TAIL).over(order))
+    joined = owned.groupBy("path", "source_file", "owner").agg(F.min(F.struct("block", "place")).alias("at"), F.sort_array(F.collect_list(F.struct("block", "place", "text"))).alias("parts"))
+    joined = joined.select("path", "source_file", "at.block", "at.place", F.array_join("parts.text", "\n").alias("text"))
+    return pieces.filter(F.col("part") == WHOLE).select(columns).unionByName(joined.select(columns))
+
+
+def _split_records(spark: SparkSession, paths: list[str], delimiter: str, utf8: bool) -> tuple[DataFrame, DataFrame]:
+    """Sheet rows of files whose records go over line ends, as wide as the widest record, and a row (source_path, row_idx)
+    for the titles of every file."""
+    records = records_over_lines(spark, paths, delimiter, utf8)
+    order = F.floor(F.col("block") / _BLOCK_BYTES) * (1 << _ID_BITS) + F.col("place") + 1
+    rows = records.select(
+        F.col("path").alias("source_path"), "source_file", F.lit("CSV").alias("source_sheet"), order.cast("bigint").alias("row_idx"), "text"
+    )
+    found = rows.groupBy("source_path").agg(F.min("row_idx").alias("row_idx"), F.max(_fields(F.col("text"), delimiter)).alias("width")).collect()
+    width = max((r["width"] for r in found), default=1)
+    record = F.from_csv("text", F.lit(", ".join(f"c{i} string" for i in range(width))), _options(delimiter, width) | {"multiLine": True})
+    cells = F.array(*[F.col(f"record.c{i}") for i in range(width)]).alias("cells")
+    titles = spark.createDataFrame([(r["source_path"], r["row_idx"]) for r in found], "source_path string, row_idx bigint")
+    return rows.withColumn("record", record).select("source_path", "source_file", "source_sheet", "row_idx", cells), titles
+
+
+def _listed_files(spark: SparkSession, paths: list[str] | str, delimiters: list[str]) -> Iterator:
+    """The description of every file. Where none of the delimiters fits a file of several lines, it is described by those
+    of ``RARE_DELIMITERS`` instead, if one of them does."""
+    unclear = {}
+    for f in describe_delimited(spark, paths, delimiters).toLocalIterator():
+        if f["stray"] >= STRAY and f["lines"] > 1 and delimiters is DELIMITERS:
+            unclear[f["path"]] = f
+        else:
+            yield f
+    if unclear:
+        for f in describe_delimited(spark, list(unclear), RARE_DELIMITERS).toLocalIterator():
+            yield f if f["stray"] < STRAY else unclear[f["path"]]
+
+
 def read_delimited(spark: SparkSession, paths: list[str] | str, delimiters: list[str] = DELIMITERS) -> DataFrame:
     """Delimited files as sheet rows ``(source_path, source_file, source_sheet, row_idx, cells)``, all text.
 
     Every record becomes one row with all its cells: quotes are doubled inside quoted values, which may hold delimiters
     and line ends, and a group's rows are as wide as its widest record. Files are grouped by delimiter, encoding and
-    whether records go over line ends; only files of the last kind are read unsplit. Row 0 holds the titles. The paths,
+    whether records go over line ends. All are read in splits, but for files of the last kind with line ends of several kinds,
+    as what a line end inside a value was can't be told from lines. Row 0 holds the titles. The paths,
     which Spark's file listing holds on the driver anyway, come there one by one; titles stay distributed.
     """
     groups: dict[tuple, list] = {}
-    for f in describe_delimited(spark, paths, delimiters).select("path", "delimiter", "utf8", "multi", "width").toLocalIterator():
-        group = groups.setdefault((f["delimiter"], f["utf8"], f["multi"]), [1, []])
+    for f in _listed_files(spark, paths, delimiters):
+        group = groups.setdefault((f["delimiter"], f["utf8"], f["multi"], f["multi"] and f["odd_end"]), [1, []])
         group[0] = max(group[0], f["width"])
         group[1].append(f["path"])
     parts = [spark.createDataFrame([], _SHEET_ROWS)]
-    for (delimiter, utf8, multi), (width, listed) in sorted(groups.items()):
-        if multi:
-            width = _widest_record(spark, listed, delimiter, utf8, width)
-        columns = [f"c{i}" for i in range(width)]
-        shown = lambda c: F.col(c) if utf8 else from_single_byte(F.col(c))
-        clean = lambda c: F.when(~F.col(c).isin(fx.CSV_MISSING), shown(c))
-        order = (
-            F.floor(F.col("_metadata.file_block_start") / _BLOCK_BYTES) * (1 << _ID_BITS)
-            + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ID_BITS) - 1))
-            + 1
-        )
-        place = [F.col("_metadata.file_path").alias("source_path"), F.col("_metadata.file_name").alias("source_file"), F.lit("CSV").alias("source_sheet")]
-        body = _csv(spark, listed, delimiter, utf8, multi, width, True).select(
-            *place, order.cast("bigint").alias("row_idx"), F.array(*[clean(c) for c in columns]).alias("cells")
-        )
-        records = _csv(spark, listed, delimiter, utf8, multi, width, False).filter(F.col("_metadata.file_block_start") == 0)
-        head = records.select(*place, order.alias("place"), F.array(*[shown(c) for c in columns]).alias("cells")).groupBy(
-            "source_path", "source_file", "source_sheet"
-        ).agg(F.lit(0).cast("bigint").alias("row_idx"), F.min_by("cells", "place").alias("cells"))
+    keys = ["source_path", "source_file", "source_sheet"]
+    for (delimiter, utf8, multi, whole), (width, listed) in sorted(groups.items()):
+        clean = lambda cells: F.transform(cells, lambda c: F.when(~c.isin(fx.CSV_MISSING), c))
+        if multi and not whole:
+            rows, titles = _split_records(spark, listed, delimiter, utf8)
+            titles = F.broadcast(titles)  # one row per file, as in the listing
+            head = rows.join(titles, ["source_path", "row_idx"], "left_semi").select(*keys, F.lit(0).cast("bigint").alias("row_idx"), "cells")
+            body = rows.join(titles, ["source_path", "row_idx"], "left_anti").select(*keys, "row_idx", clean(F.col("cells")).alias("cells"))
+        else:
+            if multi:
+                width = _widest_record(spark, listed, delimiter, utf8, width)
+            columns = [f"c{i}" for i in range(width)]
+            shown = lambda c: F.col(c) if utf8 else from_single_byte(F.col(c))
+            order = (
+                F.floor(F.col("_metadata.file_block_start") / _BLOCK_BYTES) * (1 << _ID_BITS)
+                + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ID_BITS) - 1))
+                + 1
+            )
+            place = [F.col("_metadata.file_path").alias("source_path"), F.col("_metadata.file_name").alias("source_file"), F.lit("CSV").alias("source_sheet")]
+            body = _csv(spark, listed, delimiter, utf8, multi, width, True).select(
+                *place, order.cast("bigint").alias("row_idx"), F.array(*[F.when(~F.col(c).isin(fx.CSV_MISSING), shown(c)) for c in columns]).alias("cells")
+            )
+            records = _csv(spark, listed, delimiter, utf8, multi, width, False).filter(F.col("_metadata.file_block_start") == 0)
+            head = records.select(*place, order.alias("place"), F.array(*[shown(c) for c in columns]).alias("cells")).groupBy(*keys).agg(
+                F.lit(0).cast("bigint").alias("row_idx"), F.min_by("cells", "place").alias("cells")
+            )
         first = F.regexp_replace(F.get("cells", F.lit(0)), "^\ufeff", "")
         head = head.withColumn("cells", F.concat(F.array(first), F.slice("cells", F.lit(2), F.greatest(F.size("cells") - 1, F.lit(0)))))
         parts.append(head.unionByName(body))

@@ -145,6 +145,64 @@ def test_history_append_is_idempotent(spark, tmp_path):
     assert hist.append_history(old, stored).count() == 8 and hist.append_history(stored, stored).count() == 4
 
 
+def history_of(spark, *runs):
+    rows = rows_of(spark, *({"invoice_number": f"VF{i}", "status": "OK", "amount_erp": i} for i in range(20)))
+    return [hist.history_rows(rows, run, f"{run[:4]}-{run[4:6]}-{run[6:8]}") for run in runs]
+
+
+def test_a_crashed_append_leaves_no_half_run(spark, tmp_path, monkeypatch):
+    path, (first, second) = str(tmp_path / "history"), history_of(spark, "20260514_2130", "20260515_2130")
+    hist.append_to(path, first)
+
+    def crash(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:  # before the manifest: nothing of it is ever seen
+        broken.setattr(hist.Store, "commit", crash)
+        with pytest.raises(OSError):
+            hist.append_to(path, second)
+    assert hist.read_history(spark, path).count() == 20
+    settle = hist.Store.settle
+    with monkeypatch.context() as broken:  # after the manifest: the next reader finishes what was begun
+        calls = []
+        broken.setattr(hist.Store, "settle", lambda store: crash() if calls else (calls.append(1), settle(store)))
+        with pytest.raises(OSError):
+            hist.append_to(path, second.repartition(3))
+    assert len(list((tmp_path / "history").glob("processing_run_id=*"))) == 1
+    moved = hist.Store(spark, path)
+    manifest = next(n for n in moved.listed("_commits") if n.endswith(".json") and n != "last.json")
+    half = moved.read("_commits", manifest)["files"][0]
+    moved.files.mkdirs(moved.at(half.split("/")[0]))
+    moved.files.rename(moved.at("_staged", manifest.removesuffix(".json"), half), moved.at(half))  # lost between two moves
+    assert hist.read_history(spark, path).count() == 40 and hist.read_history(spark, path).distinct().count() == 40
+    hist.append_to(path, second)
+    assert hist.read_history(spark, path).count() == 40
+
+
+def test_repeats_are_found_by_digest_alone(spark, tmp_path):
+    path, (first, second) = str(tmp_path / "history"), history_of(spark, "20260514_2130", "20260515_2130")
+    first.drop("origin", "due_date").write.partitionBy("processing_run_id").parquet(path)  # an older layout, without digests
+    for _ in range(2):
+        hist.append_to(path, first.unionByName(second).unionByName(second))
+    assert hist.read_history(spark, path).count() == 40
+    plan = hist.stored_digests(spark, path, ["20260515_2130"])._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<digest_high:bigint,digest_low:bigint>" in plan
+
+
+def test_the_last_run_is_read_from_its_partition(spark, tmp_path):
+    path, runs = str(tmp_path / "history"), history_of(spark, "20260514_2130", "20260515_2130", "20260513_0700")
+    assert hist.latest_stored_run(spark, path).count() == 0
+    for rows in runs:
+        hist.append_to(path, rows)
+    last = hist.latest_stored_run(spark, path)
+    assert {r[0] for r in last.select("processing_run_id").collect()} == {"20260515_2130"} and last.count() == 20
+    assert sorted(map(tuple, last.collect())) == sorted(map(tuple, hist.latest_run(hist.read_history(spark, path)).collect()))
+    assert len(last.inputFiles()) >= 1 and "20260515_2130" in last._jdf.queryExecution().executedPlan().toString()
+    assert last.rdd.getNumPartitions() == 1
+    (tmp_path / "history" / "_commits" / "last.json").unlink()
+    assert hist.latest_stored_run(spark, path).count() == 20
+
+
 def test_full_run_writes_every_export(spark, sf, tmp_path):
     from checks.q_text import full_inputs
 

@@ -1,4 +1,5 @@
-from datetime import date
+import unicodedata
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -78,3 +79,37 @@ def test_signed_and_booleans(spark):
     assert values(spark, s.boolean, ["Oui", "off", "?"]) == [True, False, None]
     assert values(spark, lambda c: s.lenient_number(c, True), ["1,234.5", "inf", ""]) == [1234.5, None, None]
     assert values(spark, lambda c: s.raw_line(F.array(c, F.lit(" "), F.lit("z"))), ["a"]) == ["a | z"]
+
+
+def test_names_fold_like_compatibility_forms_over_all_of_unicode(spark):
+    """Every code point that Python's tables know, alone and inside a name."""
+    points = [p for p in range(1, 0x110000) if not 0xD800 <= p < 0xE000]
+    rows = spark.createDataFrame([(p, "a" + chr(p) + "b") for p in points], "point int, value string")
+    plain = lambda text: "".join(x for x in unicodedata.normalize("NFKD", text) if not unicodedata.combining(x))
+    got = {r.point: r.folded for r in rows.select("point", s.without_accents("value").alias("folded")).collect()}
+    assert [(hex(p), got[p]) for p in points if got[p] != plain("a" + chr(p) + "b")] == []
+
+
+def test_signs_in_names_and_titles(spark):
+    row = spark.createDataFrame([("№ 5 ½ ﬁ 한국어 …",)], "v string").select(s.folded_name("v").alias("name"), s.header_key(F.lit("№ facture")).alias("key")).first()
+    assert row.name == "NO 5 1⁄2 FI 한국어 ...".replace("한국어", unicodedata.normalize("NFKD", "한국어")) and row.key == "numerofacture"
+
+
+def test_weeks_and_bare_dates_like_fromisoformat(spark):
+    day, cases = date(1990, 1, 1), []
+    while day.year < 2101:
+        year, week, weekday = day.isocalendar()
+        cases += [f"{year}-W{week:02}-{weekday}", f"{year}W{week:02}{weekday}"]
+        day += timedelta(days=3)
+    cases += [f"{y}-W{w}" for y in range(1990, 2101) for w in ("00", "01", "52", "53", "54")]
+    cases += ["20260515T10", "20260515T103000", "20260515 10:30", "20260515T10:30:00.5+02:00", "20261301T10", "2026-W05T10:30", "2026-W05-2 10", "2026W052T1030",
+              "2026-W051", "2026W05-1", "2026-W05-8", "2026-W05-0", "0000-W05", "2026-w05", "2026-05-15T1030", "2026-W5"]
+
+    def read(text):
+        try:
+            return datetime.fromisoformat(text).date()
+        except ValueError:
+            return None
+
+    got = values(spark, s.date_value, cases)
+    assert [(c, g, read(c)) for c, g in zip(cases, got) if g != read(c)] == []

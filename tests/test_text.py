@@ -1,6 +1,9 @@
+import random
+from contextlib import contextmanager
 from datetime import date
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from lettrage.operators import feed_lines as feed
@@ -172,3 +175,84 @@ def test_delimited_files_lose_nothing(spark, tmp_path):
     assert cells == [["3,00", "VF3", "z", "trop"], ["VF1", 'A "B;C" D', "1,00"], ["VF2", "deux\nlignes;x", "2,00", 'en "plus"']]
     found = {r.invoice_number: (r.source_file, r.amount_erp) for r in sheets.standardise_erp(rows).collect()}
     assert found == {f"VF{i}": ("x.csv", Decimal(f"{i}.00")) for i in (1, 2, 3)}
+
+
+QUOTED_LINES = [
+    "", "a;b;c", '"a";b', 'a;"b', 'b";c', '"', '""', '";"', 'x"y;z', 'x"y;"z', '"a""b"', '"a""', 'a;"";b', 'a;"""', '"a"x"b;c', '"a;b"";c', "plain", ';;"', '"x"tail;"open',
+]
+
+
+def ends_inside(state, line, delimiter):
+    """Character by character: 0 at a field's begin, 1 in a bare field, 2 in a quoted one, 3 behind its quote."""
+    at = 2 if state else 0
+    for char in line:
+        if at == 2:
+            at = 3 if char == '"' else 2
+        elif at == 3 and char == '"':
+            at = 2
+        elif char == delimiter:
+            at = 0
+        else:
+            at = 2 if at == 0 and char == '"' else 1
+    return int(at == 2)
+
+
+@pytest.mark.parametrize("delimiter", [";", "^", "\t", "]"])
+def test_what_a_line_does_to_the_quote_state(delimiter):
+    rule = text.QuoteState(delimiter)
+    rng = random.Random(4)
+    lines = [x.replace(";", delimiter) for x in QUOTED_LINES] + ["".join(rng.choice(f'a"{delimiter}') for _ in range(rng.randint(0, 9))) for _ in range(4000)]
+    for line in lines:
+        for state in (0, 1):
+            # behind a closing quote the rest of the field is bare up to the delimiter
+            assert rule.after(state, line) == ends_inside(state, line, delimiter), (state, line)
+
+
+@contextmanager
+def small_splits(spark, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        yield
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_records_over_lines_are_read_in_splits(spark, tmp_path, end):
+    rng = random.Random(7)
+    rows = [[f"VF{i}", end.join("x" * rng.randint(0, 60) + '"' * rng.randint(0, 2) for _ in range(rng.choice([1, 1, 2, 5]))), rng.choice(["", "a;b", "Société"])] for i in range(3000)]
+    rows[700][1] = end.join(["a line inside one long value"] * 1500)  # longer than several splits
+    rows[1500][1] = end * 9000
+    quoted = lambda v: '"' + v.replace('"', '""') + '"' if any(c in v for c in '";\r\n') else v
+    body = end.join(";".join(map(quoted, r)) for r in [["Facture", "Texte", "Nom"], *rows]) + end
+    (tmp_path / "long.csv").write_bytes(body.encode())
+    (tmp_path / "plain.csv").write_bytes(b"Facture;Texte;Nom\nVF1;x;y\n")
+    shown = lambda frame: [[x or "" for x in r[0]] for r in frame.filter("source_file = 'long.csv'").orderBy("row_idx").select("cells").collect()]
+    with small_splits(spark, 1 << 14):
+        frame = text.read_delimited(spark, str(tmp_path))
+        assert len(text.inside_quotes(spark, [str(tmp_path / "long.csv")], ";")) >= 3
+        assert text.records_over_lines(spark, [str(tmp_path / "long.csv")], ";").filter("text <> ''").count() == 3001
+        assert shown(frame) == [["Facture", "Texte", "Nom"], *rows]
+    assert shown(text.read_delimited(spark, str(tmp_path))) == [["Facture", "Texte", "Nom"], *rows]
+
+
+def test_records_over_lines_in_a_single_byte_file_with_an_open_end(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes('Facture;Client\nVF1;"é\nœ"\n\nVF2;"jamais fermé\nVF3;x\n'.encode("cp1252"))
+    rows = [[c for c in r.cells if c is not None] for r in text.read_delimited(spark, str(tmp_path)).orderBy("row_idx").collect()]
+    assert rows[:2] == [["Facture", "Client"], ["VF1", "é\nœ"]] and rows[2][0] == "VF2" and len(rows) == 3
+
+
+@pytest.mark.parametrize("delimiter", list(";,\t|^~:#"))
+def test_any_steady_delimiter_is_found(spark, tmp_path, delimiter):
+    lines = ["N° d'ordre de facture;Date facture (jour/mois);Total TTC;Client"] + [f"VF{i};{i % 28 + 1:02}/05/2026 10.30;1.000,50;Société n° {i} - d'Or & fils" for i in range(1, 40)]
+    (tmp_path / "a.csv").write_text("\n".join(x.replace(";", delimiter) if delimiter != "," else x.replace("1.000,50", "1000.50").replace(";", ",") for x in lines) + "\n")
+    found = {r.invoice_number: r.customer_name for r in sheets.standardise_erp(text.read_delimited(spark, str(tmp_path))).collect()}
+    assert len(found) == 39 and found["VF7"] == "SOCIÉTÉ N° 7 - D'OR & FILS"
+
+
+def test_one_column_files_stay_whole(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Affaires: liste\nA:B:C\nD\nE\nF-G\n")
+    rows = text.read_delimited(spark, str(tmp_path)).orderBy("row_idx").collect()
+    assert [r.cells for r in rows] == [["Affaires: liste"], ["A:B:C"], ["D"], ["E"], ["F-G"]]

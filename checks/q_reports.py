@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from lettrage.functions import fixed as fx
 from lettrage.operators import matching as m
+from lettrage.operators import coverage as cov
 from lettrage.operators import names, selections as sel
 from lettrage.plans import audit, dashboard as dash, missing, summary as summ
+from lettrage.plans.run import RunConfig, run
 from lettrage.sources import exports, history as hist
 from lettrage.sources.shared import stored
 
@@ -228,19 +230,19 @@ query("reference_suggestions", with_("RECURSIVE " + R + CLOSEST + _SUGGEST, """
   UNION ALL SELECT 15, 'RCI hors période', hp FROM v
   UNION ALL SELECT 16, 'Total lignes RCI/PDF hors période', hp FROM v)
   SELECT CAST(place AS BIGINT) AS place, indicateur, CAST(n AS VARCHAR) AS valeur FROM l
-  UNION ALL SELECT 1, 'Période de rapprochement', 'filtre desactive'
+  UNION ALL SELECT 1, 'Période de rapprochement', '1996-01-01 -> 2000-12-31'
   UNION ALL SELECT 6, 'Montant total absent RCI', printf('%.2f', missing_rci_total_amount) FROM ms
   UNION ALL SELECT 10, 'Taux de rapprochement', CAST(round(ok / (ok + mi + am + ad + db), 4) AS VARCHAR) FROM s
-  UNION ALL SELECT 17, 'Alerte aucun flux RCI dans la période', 'Non'
+  UNION ALL SELECT 17, 'Alerte aucun flux RCI dans la période', CASE WHEN rr = 0 THEN 'Oui' ELSE 'Non' END FROM kept
   UNION ALL SELECT 18, 'Alerte PDF hors période RCI', 'Non'
-  UNION ALL SELECT 19, 'Batch correctif candidat généré', 'Oui'
+  UNION ALL SELECT 19, 'Batch correctif candidat généré', CASE WHEN count(*) > 0 THEN 'Oui' ELSE 'Non' END FROM missing WHERE included_in_corrective_batch
   UNION ALL SELECT 20, 'Nombre factures incluses batch correctif', CAST(count(*) AS VARCHAR) FROM missing WHERE included_in_corrective_batch
   UNION ALL SELECT 21, 'Montant total inclus batch correctif', printf('%.2f', CAST(sum(round(montant_impacte * 100)) AS BIGINT) / 100.0) FROM missing WHERE included_in_corrective_batch"""))
 def _(spark, sf):
-    rows = marked(spark, sf)
-    return summ.report_indicators(summ.one_row(
-        summ.run_metrics(rows), missing.missing_summary(rows), missing.batch_summary(rows).drop("warning")
-    ))
+    config = RunConfig(date_from=v.PERIOD[0], date_to=v.PERIOD[1])
+    listed = cov.coverage_values(v.coverage_list(spark, sf), ["code"], ["nom"])
+    done = run(v.erp(spark, sf), v.rci(spark, sf), v.pdf(spark, sf), listed, config).stored(scratch(spark))
+    return summ.report_indicators(done.summary())
 
 
 def _dash(spark, sf):

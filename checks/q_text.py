@@ -284,15 +284,15 @@ query("header_row", with_(_REF, """
 )
 
 
+# row 0 of the titled sheet is a remark that holds a word for names
 @query("reference_roles_header", with_(_REF, """
-  SELECT source_file, source_sheet, CAST(p.pos AS BIGINT) AS pos, CASE WHEN v = 1 THEN p.role END AS top_by_title,
+  SELECT source_file, source_sheet, CAST(p.pos AS BIGINT) AS pos, CASE WHEN v = 1 THEN p.role WHEN v = 2 AND p.pos = 0 THEN 'name' END AS top_by_title,
     CASE WHEN v IN (1, 2) THEN p.role END AS low_by_title
   FROM keys, (VALUES (0, 'code'), (1, 'name')) AS p(pos, role) WHERE v <> 3 OR p.pos = 0"""))
 def _(spark, sf):
     profile = reference.column_profile(v.reference_sheets(spark, sf))
-    # row 0 of the titled sheet carries a remark, not a word
     roles = reference.header_roles(reference.header_roles(profile, "top"), "low")
-    return roles.select(*_KEYS, "pos", F.when(F.col("header_row") == 0, F.col("top_by_title")).alias("top_by_title"), "low_by_title")
+    return roles.select(*_KEYS, "pos", "top_by_title", "low_by_title")
 
 
 @query("reference_roles_content", with_(_REF, """

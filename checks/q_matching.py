@@ -331,21 +331,38 @@ def _(spark, sf):
     return overlap.invoice_presence(asked, v.erp(spark, sf), v.rci(spark, sf), v.pdf(spark, sf))
 
 
+_TRACED = ["source_file", "source_erp", "source_rci", "source_pdf", "customer_name", "amount_erp", "amount_rci", "amount_pdf", "amount_gap",
+           "montant_impacte", "erp_date", "rci_date", "pdf_invoice_date", "due_date", "origin", "status", "severity", "action_recommandee"]
+
+
+# the records of every stage, and the reason of the status
 @query("invoice_trace", with_(recon(), """
-  , want AS (SELECT 'VF100022' AS inv)
-  SELECT 'ERP' AS stage, inv AS invoice_number, CAST(count(*) AS BIGINT) AS n, CAST(NULL AS VARCHAR) AS status FROM erp JOIN want USING (inv) GROUP BY inv
-  UNION ALL SELECT 'RCI TXT', inv, count(*), NULL FROM rci JOIN want USING (inv) GROUP BY inv
-  UNION ALL SELECT 'PDF', inv, count(*), NULL FROM pdf JOIN want USING (inv) GROUP BY inv
-  UNION ALL SELECT 'RCI consolide', inv, 1, NULL FROM want WHERE inv IN (SELECT inv FROM rci UNION SELECT inv FROM pdf)
-  UNION ALL SELECT 'Statut final', invoice_number, count(*), min(status) FROM recon JOIN want ON inv = invoice_number GROUP BY invoice_number"""))
+  , want AS (SELECT 'VF100022' AS inv), n AS (SELECT NULL::VARCHAR AS t, NULL::DOUBLE AS x, NULL::DATE AS d),
+  final AS (SELECT *, CASE status
+      WHEN 'OK' THEN 'presente ERP et RCI/PDF, montant ERP=' || amount_erp || ', montant RCI=' || COALESCE(amount_rci::VARCHAR, 'NULL') || ', montant PDF='
+        || COALESCE(amount_pdf::VARCHAR, 'NULL') || ', ecart=' || amount_gap || '; dans la tolerance.'
+      WHEN 'MANQUANTE_RCI' THEN 'presente ERP mais absente RCI/PDF; montant impacte=' || montant_impacte || '. Action: ' || action_recommandee
+      WHEN 'RCI_SEULEMENT' THEN 'presente RCI/PDF mais absente ERP; montant impacte=' || montant_impacte || '. Action: ' || action_recommandee
+      WHEN 'ANOMALIE_MONTANT' THEN 'ecart montant hors tolerance; ecart=' || amount_gap || ', montant impacte=' || montant_impacte || '. Action: ' || action_recommandee
+      WHEN 'ANOMALIE_DATE' THEN 'date incoherente ou manquante; montant impacte=' || montant_impacte || '. Action: ' || action_recommandee
+      WHEN 'DOUBLON' THEN 'doublon conflictuel detecte; montant impacte=' || montant_impacte || '. Action: ' || action_recommandee
+      WHEN 'HORS_SCOPE_RCI' THEN 'facture ERP hors perimetre RCI; pas d''ecart impacte. Action: ' || action_recommandee
+      ELSE 'statut ' || status || '; Action: ' || action_recommandee END AS reason FROM recon JOIN want ON inv = invoice_number)
+  SELECT 'ERP' AS stage, inv AS invoice_number, t AS reason, file AS source_file, t AS source_erp, t AS source_rci, t AS source_pdf, name AS customer_name,
+    amt / 100.0 AS amount_erp, x AS amount_rci, x AS amount_pdf, x AS amount_gap, x AS montant_impacte, dt AS erp_date, d AS rci_date, d AS pdf_invoice_date,
+    d AS due_date, t AS origin, t AS status, t AS severity, t AS action_recommandee FROM erp JOIN want USING (inv), n
+  UNION ALL SELECT 'RCI TXT', inv, t, file, t, t, t, t, x, amt / 100.0, x, x, x, d, dt, d, d, t, t, t, t FROM rci JOIN want USING (inv), n
+  UNION ALL SELECT 'PDF', inv, t, 'releve.pdf', t, t, t, t, x, x, amt / 100.0, x, x, d, d, dt, due, 'ENTREE BATCH', t, t, t FROM pdf JOIN want USING (inv), n
+  UNION ALL SELECT 'RCI consolide', inv, t, t, t, CASE WHEN in_r THEN rfile END, CASE WHEN in_p THEN 'releve.pdf:p' || page END, t, x, ramt / 100.0, pamt / 100.0,
+    x, x, d, rdt, pdt, due, CASE WHEN in_p THEN 'ENTREE BATCH' END, t, t, t FROM bank JOIN want USING (inv), n
+  UNION ALL SELECT 'Statut final', invoice_number, reason, t, source_erp, source_rci, source_pdf, customer_name, amount_erp, amount_rci, amount_pdf, amount_gap,
+    montant_impacte, erp_date, rci_date, pdf_invoice_date, due_date, origin, status, severity, action_recommandee FROM final, n"""))
 def _(spark, sf):
     trace = overlap.invoice_trace(
         "FVF 100022", v.erp(spark, sf), v.rci(spark, sf), v.pdf(spark, sf), reconciled(spark, sf)
     )
-    return trace.groupBy("stage", "invoice_number").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.when(F.col("reason").isNotNull(), F.get_json_object("record", "$.status"))).alias("status"),
-    )
+    kinds = {c: "double" for c in _TRACED if c.startswith(("amount", "montant"))} | {c: "date" for c in _TRACED if c.endswith("_date")}
+    return trace.select("stage", "invoice_number", "reason", *[F.get_json_object("record", f"$.{c}").cast(kinds.get(c, "string")).alias(c) for c in _TRACED])
 
 
 @query("closest_name_ratio", with_("RECURSIVE " + recon() + CLOSEST, """

@@ -91,7 +91,7 @@ def _(spark, sf):
 
 # ---------------------------------------------------------------- audit
 
-query("audit_dates", with_(R, """
+_DATES = """
   , x AS (
     SELECT COALESCE(CAST(erp_date AS VARCHAR), 'DATE_NON_RENSEIGNEE') AS erp_date, 1 AS e, status,
       CASE WHEN montant_impacte = 0 THEN abs(amount_erp) ELSE montant_impacte END AS lost FROM recon
@@ -104,12 +104,17 @@ query("audit_dates", with_(R, """
       count(*) FILTER (e = 1 AND status = 'MANQUANTE_RCI') AS mi, count(*) FILTER (e = 1 AND status = 'HORS_SCOPE_RCI') AS hs,
       COALESCE(CAST(sum(round(lost * 100)) FILTER (e = 1 AND status = 'MANQUANTE_RCI') AS BIGINT), 0) / 100.0 AS lost,
       count(*) FILTER (e = 0 AND status <> 'RCI_HORS_PERIODE') AS rc, count(*) FILTER (e = 0 AND status = 'RCI_HORS_PERIODE') AS rh
-    FROM x GROUP BY erp_date)
+    FROM x GROUP BY erp_date)"""
+query("audit_dates", with_(R + _DATES, """
   SELECT erp_date, n AS nombre_total_factures_erp, ok AS nombre_ok, mi AS nombre_manquante_rci, hs AS nombre_hors_scope_rci,
     lost AS montant_manquant_rci, rc AS rci_count, rh AS rci_hors_periode_count,
     CASE WHEN n - hs > 0 THEN round(ok / (n - hs), 4) ELSE 0.0 END AS taux_rapprochement_date FROM g"""))(
     lambda spark, sf: audit.audit_dates(reconciled(spark, sf))
 )
+query("counts_by_date", with_(R + _DATES, """
+  SELECT * FROM (SELECT erp_date, unnest(['OK', 'MANQUANTE_RCI', 'RCI_HORS_PERIODE']) AS status, unnest([ok, mi, rh]) AS n FROM g) WHERE n > 0"""))(
+    lambda spark, sf: audit.counts_by_date(reconciled(spark, sf))
+)
 
 
 def _unfiltered(spark, sf):

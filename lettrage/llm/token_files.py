@@ -3,8 +3,8 @@
 1. Documents are tokenised once; their ids go to a table in the shared folder, and beside them what every task has counted
    of each id.
 2. The sum of the counts, one row per id of the vocabulary, gives code lengths of at most 16 bits.
-3. Each document's ids are coded, with a bit offset every ``EVERY`` ids. Coded documents are range-partitioned by id and
-   sorted, and every partition writes its blocks. A block ends after the document with which it reaches ``BLOCK`` ids,
+3. Documents are range-partitioned by id and sorted. Every partition codes their ids, with a bit offset every ``EVERY`` ids,
+   and writes its blocks. A block ends after the document with which it reaches ``BLOCK`` ids,
    and holds the bit streams, each from a byte's begin, and ids, token counts, stream lengths and offsets of its documents.
    The code lengths are stored once beside the blocks.
 4. Blocks are decoded independently by table, all runs between checkpoints of a block at once.
@@ -32,7 +32,6 @@ EVERY = 64
 IDS = "doc_id bigint, tie bigint, n bigint, symbols array<bigint>, counts array<bigint>, ids binary"
 #: Ids counted at a time.
 COUNTED = 1 << 20
-CODED = "doc_id bigint, tie bigint, n bigint, offsets binary, bits binary"
 BLOCKS = (
     "shard int, block int, n_tokens bigint, doc_ids array<bigint>, counts array<bigint>, sizes array<bigint>, offsets binary, bits binary"
 )
@@ -102,22 +101,6 @@ def id_counts(tokens: DataFrame, size: int) -> np.ndarray:
     return counts
 
 
-def coded(tokens: DataFrame, lengths: np.ndarray) -> DataFrame:
-    """``doc_id, tie, n, offsets, bits`` of every document."""
-    def code_up(batches):
-        code = huffman.Code.canonical(lengths)
-
-        def rows():
-            for batch in batches:
-                for doc_id, tie, n, ids in zip(*[c.to_pylist() for c in batch.columns]):
-                    bits, offsets = code.encode(unpacked(ids, n), EVERY)
-                    yield doc_id, tie, n, offsets.astype("<u4").tobytes(), bits
-
-        yield from in_batches(rows(), CODED)
-
-    return tokens.filter(F.col("ids").isNotNull()).select("doc_id", "tie", "n", "ids").mapInArrow(code_up, CODED)
-
-
 def write(docs: DataFrame, folder: str, path: str | None = None) -> None:
     """Code the documents into ``folder``/blocks, and the code lengths into ``folder``/code."""
     path = path or default_vocabulary()
@@ -129,12 +112,15 @@ def write(docs: DataFrame, folder: str, path: str | None = None) -> None:
     def assemble(batches):
         from pyspark import TaskContext
 
+        code = huffman.Code.canonical(lengths)
+
         def rows():
             shard, number, held, total = TaskContext.get().partitionId(), 0, [], 0
             for batch in batches:
-                for row in zip(*[c.to_pylist() for c in batch.columns]):
-                    held.append(row)
-                    total += row[1]
+                for doc_id, n, ids in zip(*[c.to_pylist() for c in batch.columns]):
+                    bits, offsets = code.encode(unpacked(ids, n), EVERY)
+                    held.append((doc_id, n, offsets.astype("<u4").tobytes(), bits))
+                    total += n
                     if total >= BLOCK:
                         yield block(shard, number, total, held)
                         number, held, total = number + 1, [], 0
@@ -147,8 +133,10 @@ def write(docs: DataFrame, folder: str, path: str | None = None) -> None:
 
         yield from in_batches(rows(), BLOCKS)
 
-    ordered = coded(tokens, lengths).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    ordered.select("doc_id", "n", "offsets", "bits").mapInArrow(assemble, BLOCKS).write.parquet(f"{folder}/blocks")
+    # dealt out before coding: the bounds of ranges are sampled from rows, which are read for it, but not coded twice
+    ids = tokens.filter(F.col("ids").isNotNull()).select("doc_id", "tie", "n", "ids")
+    ordered = ids.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    ordered.select("doc_id", "n", "ids").mapInArrow(assemble, BLOCKS).write.parquet(f"{folder}/blocks")
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:

@@ -20,6 +20,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lettrage.llm.shared import released
+
 UNKNOWN = "und"
 SAMPLE = 5_000
 TYPICAL = 30_000
@@ -137,7 +139,7 @@ def fit(docs: DataFrame, label: str = "lang", sample: int = SAMPLE) -> Filters:
                 [pa.array([name] * len(got)), pa.array(got.astype(np.int64)), pa.array(n.astype(np.int64))], ["label", "w", "n"]
             )
 
-    counted = lowered(chosen, "label").mapInArrow(count, "label string, w bigint, n bigint").groupBy("label", "w").agg(F.sum("n").alias("n"))
+    counted = lowered(chosen, "label").mapInArrow(released(count), "label string, w bigint, n bigint").groupBy("label", "w").agg(F.sum("n").alias("n"))
     sizes = counted.groupBy("label").agg(F.sum("n").alias("size"))
     shares = counted.filter(F.col("n") >= LEAST).join(F.broadcast(sizes), "label").withColumn("share", F.col("n") / F.col("size"))
     typical = shares.withColumn("most", F.max("share").over(Window.partitionBy("w"))).filter(F.col("share") >= RATIO * F.col("most"))
@@ -177,7 +179,7 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
         docs, F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("body"),
     )
-    return texts.mapInArrow(judge, "doc_id bigint, body bigint, lang_pred string, score double, known double")
+    return texts.mapInArrow(released(judge), "doc_id bigint, body bigint, lang_pred string, score double, known double")
 
 
 def held_out(doc_id: str = "doc_id"):

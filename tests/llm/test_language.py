@@ -1,5 +1,7 @@
 """Language identification: held-out accuracy, defined cases, filters."""
 
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -46,3 +48,59 @@ def test_many_languages():
     filters = language.Filters.build({f"l{i:03d}": np.array([i * 977], dtype=np.uint32) for i in range(70)}, {f"l{i:03d}": 1 for i in range(70)})
     assert filters.slots.shape[1] == 2
     assert filters.count([np.array([69 * 977], dtype="<u4").tobytes()])[1].argmax() == 69
+
+
+def python_hashes(key):
+    mixed = key ^ (key >> 15)
+    shift = 32 - language.SLOTS.bit_length() + 1
+    return [((mixed * m) & 0xFFFFFFFF) >> shift for m in language.MULTIPLIERS[: language.HASHES]]
+
+
+def python_windows(text):
+    raw = b" " + text.lower().encode() + b"    "
+    return [int.from_bytes(raw[i : i + 4], "little") for i in range(len(raw) - 4)]
+
+
+def brute(learned, asked):
+    """Windows, filters and their counts as plain sets and integers; ``learned`` rows are (text, language)."""
+    counts = {}
+    for text, name in learned:
+        if text is not None and name is not None:
+            counts.setdefault(name, Counter()).update(python_windows(text))
+    shares = {name: {w: n / sum(c.values()) for w, n in c.items() if n >= language.LEAST} for name, c in counts.items()}
+    most = Counter()
+    for found in shares.values():
+        for w, share in found.items():
+            most[w] = max(most[w], share)
+    filters = {}
+    for name, found in shares.items():
+        kept = sorted((-s, w) for w, s in found.items() if s >= language.RATIO * most[w])[: language.TYPICAL]
+        filters[name] = {place for _, w in kept for place in python_hashes(w)}
+    rates = {name: (len(places) / language.SLOTS) ** language.HASHES for name, places in filters.items()}
+    out = []
+    for text in asked:
+        if text is None or not any(c.isalpha() for c in text):
+            out.append(("und", 0.0))
+            continue
+        windows, found = [python_hashes(w) for w in python_windows(text)], {}
+        for name, places in filters.items():
+            hits = sum(all(p in places for p in w) for w in windows)
+            found[name] = max((hits - len(windows) * rates[name]) / (1 - rates[name]), 0.0)
+        best = min(found, key=lambda name: (-found[name], name))
+        out.append((best, found[best] / sum(found.values())))
+    return out
+
+
+def test_predictions_against_plain_sets(spark, table):
+    rows = [(r["doc_id"], r["text"][:3000], r["lang"]) for r in table("documents").orderBy("doc_id").limit(60).collect()]
+    rows += [(1001, None, "en"), (1002, "", "fr"), (1003, "12", "de"), (1004, "Été ÉTÉ ñandú", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.predict(docs, language.fit(docs)).collect()}
+    want = dict(zip([r[0] for r in rows], brute([r[1:] for r in rows], [r[1] for r in rows])))
+    assert {d: w[0] for d, w in got.items()} == {d: w[0] for d, w in want.items()}
+    assert all(abs(got[d][1] - want[d][1]) < 1e-9 for d in want)
+
+
+def test_ties_go_to_the_first_language(spark):
+    docs = spark.createDataFrame([(i, "same words in both", name) for i, name in enumerate(["zz", "aa"] * 5)], "doc_id long, text string, lang string")
+    assert {r["lang_pred"] for r in language.predict(docs, language.fit(docs)).collect()} == {"aa"}

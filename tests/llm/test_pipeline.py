@@ -50,3 +50,14 @@ def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_clashing_names_repeated_rows_and_a_very_long_text(spark, tmp_path):
+    words = lambda seed, n: " ".join(f"mot{(seed * 7919 + i * 104729) % 500_009}" for i in range(n))
+    rows = [(1, words(1, 60)), (2, words(1, 60) + " un"), (3, words(3, 60)), (3, words(3, 60)), (4, words(4, 150_000)), (5, "12 34")]
+    docs = spark.createDataFrame([(d, t, "en", d, 7, "x") for d, t in rows], "doc_id long, text string, lang string, rejected_doc_id long, rejected_body long, body string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "of no document")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in pieces} == {1, 3, 4} and sum(r["doc_id"] == 3 for r in pieces) == 2
+    assert sum(r["length"] for r in pieces if r["doc_id"] == 4) == next(r["doc_tokens"] for r in pieces if r["doc_id"] == 4) > 150_000

@@ -88,3 +88,18 @@ def test_ledger_scans_only_what_is_new(spark, tmp_path):
     base = sorted(r.id for r in secret_scan.BASE)
     assert rows == sorted([base, base, more, more, sorted(base + more)])
     assert secret_scan.scan(two, ledger, rules).count() == 4 and secret_scan.read_ledger(spark, ledger).count() == 5
+
+
+def test_scans_of_an_empty_table_and_null_paths(spark, tmp_path):
+    empty = spark.createDataFrame([], "path string, text string")
+    assert secret_scan.scan(empty, f"{tmp_path}/empty").count() == 0
+    rows = [(None, "token = abcdefghijklmnop"), (None, None), ("a", ""), ("a", ""), ("a", "token = abcdefghijklmnop " + "x " * 200_000)]
+    found = secret_scan.scan(spark.createDataFrame([(p, t, 1, []) for p, t in rows], "path string, text string, blob int, findings array<int>"), f"{tmp_path}/ledger")
+    assert sorted((r["path"] or "-", len(r["findings"])) for r in found.collect()) == [("-", 0), ("-", 1), ("a", 0), ("a", 0), ("a", 1)]
+
+
+def test_repeated_rows_are_reported_as_often(spark):
+    rows = [(1, "write to some.one@example.org now")] * 3 + [(None, "10.0.0.1"), (2, "10.0.0.1 " * 20_000)]
+    found = pii.find_pii(spark.createDataFrame([(d, t, 5) for d, t in rows], "doc_id long, text string, base int"))
+    got = sorted((str(r["doc_id"]), len(r["base"])) for r in found.collect())
+    assert got == [("1", 1), ("1", 1), ("1", 1), ("2", 20_000), ("None", 1)]

@@ -1,8 +1,8 @@
 """Chat formatting with a round trip through the template's grammar.
 
-A conversation is rendered as ``### role: text\\n</turn>\\n`` per turn. The rendered text is parsed again and compared with
-the source; where they differ, the turns that hold control strings are rendered escaped, and the result is parsed and
-compared once more. A conversation that still differs fails the job, so no text is ever altered silently.
+A conversation is rendered as ``### role: text\\n</turn>\\n`` per turn, with every control string inside a text escaped, also
+where a parser could do without. The rendered text is parsed again and compared with the source. A conversation that differs fails the
+job, so no text is ever altered silently; the escape is made so that none does.
 
 Escaping puts one backslash before the run of backslashes, possibly none, in front of a control string; reading takes
 one away. Roles are percent-encoded where they hold ``%``, ``:`` or ``<``.
@@ -89,10 +89,8 @@ def format_conversations(rows: DataFrame) -> DataFrame:
         rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("ordered"))
         .select("conv_id", F.transform("ordered", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("source"))
     )
-    plain = source.withColumn("plain", render(F.col("source"), lambda text: text))
-    tried = plain.withColumn("same", F.coalesce(parsed(F.col("plain")) == F.col("source"), F.lit(False)))
-    escaped = render(F.col("source"), lambda text: F.when(text.rlike(CONTROL), escape(text)).otherwise(text))
-    chosen = tried.select("conv_id", "source", F.when(F.col("same"), F.col("plain")).otherwise(escaped).alias("formatted"))
+    escaped = lambda text: F.when(text.rlike(CONTROL), escape(text)).otherwise(text)
+    chosen = source.select("conv_id", "source", render(F.col("source"), escaped).alias("formatted"))
     read = chosen.withColumn("bodies", bodies(F.col("formatted")))
     back = read.select(
         "conv_id", "source", "formatted", "bodies",

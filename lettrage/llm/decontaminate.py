@@ -5,8 +5,8 @@ occurrences as weight. An item's fingerprint has 128 bits. A window is as long a
 are formed in which so many positions hold shingles of items of that size as the similarity takes, in whatever order, as no
 other can reach it. Equal windows are fingerprinted and compared once, however many documents hold them.
 
-Fingerprints meet by multi-index blocks: two of them within ``RADIUS`` bits differ by at most three bits in one of eight
-blocks of 16 bits; items list each block with all changes of up to two bits and windows with up to one, so every such pair
+Fingerprints meet by multi-index blocks: two of them within ``RADIUS`` bits differ by at most four bits in one of eight
+blocks of 16 bits; items list each block with all changes of up to three bits and windows with up to one, so every such pair
 meets in a block. Pairs that meet within the radius are compared exactly: sum of the smaller over sum of the larger
 shingle counts, which has to reach ``SIMILARITY``.
 
@@ -26,9 +26,9 @@ from lettrage.llm.shared import documents, stored
 
 WORDS = 5
 SIMILARITY = 0.8
-RADIUS = 31
+RADIUS = 39
 BLOCKS, BLOCK_BITS = 8, 16
-ITEM_CHANGES, WINDOW_CHANGES = 2, 1
+ITEM_CHANGES, WINDOW_CHANGES = 3, 1
 #: Largest number of benchmark shingles that are broadcast, about 50 MB; a larger benchmark is joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 

@@ -13,14 +13,15 @@ Recall on vectors without structure needs windows in proportion to the table: wi
 curve, windows cover about three quarters of it. Blocks have a fixed size, and blocks with many queries are dealt out in
 parts, so memory per task doesn't grow with the table.
 
-Defined cases: vectors that are null, empty, zero or hold null or non-finite components take no part, nor do vectors whose
-length isn't the most frequent one; equal scores are ordered by ``vec_id``; of rows with
+Defined cases: vectors that are null, empty, zero or hold null or non-finite components take no part; vectors of each length
+are searched by themselves, as products need equal lengths, one index after another; equal scores are ordered by ``vec_id``; of rows with
 equal ``vec_id`` the least vector counts; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -106,9 +107,7 @@ def usable(vectors: DataFrame) -> DataFrame:
         F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & ~F.coalesce(F.exists("vector", odd), F.lit(True))
         & F.exists("vector", lambda x: x != 0)
     )
-    sizes = fine.groupBy(F.size("vector").alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "size").first()
-    sized = fine.filter(F.size("vector") == (sizes["size"] if sizes else 0))
-    return sized.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    return fine.groupBy("vec_id").agg(F.min(F.struct(F.size("vector").alias("size"), F.col("vector").alias("vector"))).alias("least")).select("vec_id", "least.vector")
 
 
 def least_ids(vectors: DataFrame, kept: int) -> DataFrame:
@@ -198,14 +197,20 @@ def best_in_blocks(dealt: DataFrame, nearest: int) -> DataFrame:
 def search(vectors: DataFrame, is_query: Column, nearest: int = NEAREST, curves: int = CURVES, share: float = SHARE, block: int = BLOCK) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``nearest`` best of every query's windows; ``is_query`` reads ``vec_id``."""
     fine = stored(usable(vectors), "vectors")
+    sizes = [r["size"] for r in fine.groupBy(F.size("vector").alias("size")).count().orderBy("size").collect()]
+    if not sizes:
+        return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    each = [search_length(fine.filter(F.size("vector") == n) if len(sizes) > 1 else fine, is_query, nearest, curves, share, block) for n in sizes]
+    return reduce(DataFrame.unionByName, each)
+
+
+def search_length(fine: DataFrame, is_query: Column, nearest: int, curves: int, share: float, block: int) -> DataFrame:
+    """The answers among vectors of one length."""
     queries = fine.filter(is_query).select(F.col("vec_id").alias("query_id"), "vector")
     asked = stored(queries.groupBy("vector").agg(F.count(F.lit(1)).alias("queries")), "query-vectors")
     groups = least_ids(fine, nearest + 1).join(asked, "vector", "left")
     groups = stored(groups.select(F.col("ids")[0].alias("vec_id"), "vector", "ids", F.col("queries").isNotNull().alias("asks"), "queries"), "distinct-vectors")
     total = groups.count()
-    empty = "query_id bigint, rank int, vec_id bigint, score double"
-    if not total:
-        return vectors.sparkSession.createDataFrame([], empty)
     chosen = groups.filter(F.pmod(F.xxhash64("vec_id", F.lit("sample")), F.lit(1_000_000)) < 1_000_000 * min(1.0, SAMPLE / total))
     sample = np.array([r["vector"] for r in chosen.select("vector").collect()] or [r["vector"] for r in groups.limit(1).collect()])
     placed = stored(ordered(groups, Curves.fit(sample, curves)), "ranks")

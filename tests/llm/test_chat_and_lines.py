@@ -1,6 +1,7 @@
 """Chat formatting and line dedup: defined cases against plain Python."""
 
 import hashlib
+import re
 
 from pyspark.sql import functions as F
 
@@ -14,6 +15,13 @@ TEXTS = [
 ROLES = ["user", "assistant", None, "", "a:b", "%3A <x> ###", "\n</turn>\n", "Assistant"]
 
 
+def test_control_strings_are_escaped_where_a_parser_could_do_without(spark):
+    rows = [(1, 0, "user", "use ### here </turn> now"), (1, 1, "assistant", "a ### b\\\\### c")]
+    one = chat_format.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).first()
+    assert one["formatted"] == "### user: use \\### here \\</turn> now\n</turn>\n### assistant: a \\### b\\\\\\### c\n</turn>\n"
+    assert [t["text"] for t in one["turns"]] == [r[3] for r in rows] and one["loss"][0]["text"] == rows[1][3]
+
+
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
@@ -40,6 +48,10 @@ def test_chat_round_trip_of_hard_texts(spark):
         bodies = [text[m["start"] : m["end"]] for m in whole[c]["loss"]]
         assert len("".join(bodies)) >= len(learned) and all(b == m["text"] or "\\" in b for b, m in zip(bodies, whole[c]["loss"]))
     assert whole[-1]["formatted"] == "### user: plain\n</turn>\n"
+    for c, turns in source.items():  # every control string has its escape
+        controls = sum(len(re.findall("###|</turn>", text)) for *_, text in turns)
+        roles = sum(len(role.replace("%", "%25").replace(":", "%3A").replace("<", "%3C")) for _, _, role, _ in turns)
+        assert len(whole[c]["formatted"]) == roles + sum(len(text) + 15 for *_, text in turns) + controls
     assert chat_format.format_conversations(frame.filter("false")).count() == 0
 
 

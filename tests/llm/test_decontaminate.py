@@ -3,6 +3,8 @@
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from lettrage.llm import decontaminate
 
 
@@ -38,7 +40,11 @@ def leaks(docs, items):
 
 
 def test_given_tables(spark, table):
-    docs, items = table("documents").filter("doc_id % 4 = 1").limit(40), table("benchmark")
+    items = table("benchmark")
+    known = {g for r in items.collect() for g in grams(words(r["text"]), 5)}
+    shared = {r["doc_id"]: sum(g in known for g in grams(words(r["text"]), 5)) for r in table("documents").collect()}
+    chosen = sorted(shared, key=lambda d: (-shared[d], d))[:20] + sorted(shared)[:20]
+    docs = table("documents").filter(F.col("doc_id").isin(chosen))
     want = brute([(r["doc_id"], r["text"]) for r in docs.collect()], [(r["item_id"], r["text"]) for r in items.collect()])
     got = leaks(docs, items)
     assert want and {k: round(v, 9) for k, v in got.items()} == {k: round(v, 9) for k, v in want.items()}
@@ -96,3 +102,19 @@ def test_fingerprints_within_the_radius_meet(spark):
     left = frame.selectExpr("n", "a0 AS f0", "a1 AS f1").select("n", decontaminate.block_keys(decontaminate.ITEM_CHANGES).alias("k"))
     right = frame.selectExpr("n AS m", "b0 AS f0", "b1 AS f1").select("m", decontaminate.block_keys(decontaminate.WINDOW_CHANGES).alias("j"))
     assert left.join(right, left["n"] == right["m"]).filter("arrays_overlap(k, j)").count() == 60
+
+
+def test_no_pair_near_the_threshold_is_lost(spark):
+    """Items with one changed word, some five shingles of 56: the farthest that pairs of this similarity lie apart."""
+    texts = {i: [f"w{(i * 7919 + k * 104729) % 99991}" for k in range(60)] for i in range(800)}
+    changed = {i: [*w[:30], "changed", *w[31:]] for i, w in texts.items()}
+    table = lambda name, rows: spark.createDataFrame([(i, " ".join(w)) for i, w in rows.items()], f"{name} long, text string")
+    found = leaks(table("doc_id", changed), table("item_id", texts))
+    assert {k for k in found if k[0] == k[1]} == {(i, i) for i in texts} and all(abs(found[i, i] - 51 / 61) < 1e-9 for i in texts)
+
+
+def test_very_long_text(spark):
+    item = " ".join(f"w{i}" for i in range(40))
+    long = " ".join(f"x{i % 977}" for i in range(60_000)) + " " + item + " " + " ".join(f"y{i % 991}" for i in range(60_000))
+    table = lambda name, text: spark.createDataFrame([(1, text)], f"{name} long, text string")
+    assert leaks(table("doc_id", long), table("item_id", item)) == {(1, 1): 1.0}

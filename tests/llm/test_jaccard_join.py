@@ -80,7 +80,7 @@ def test_long_lists_are_dealt_out_in_bounded_groups(spark, monkeypatch):
 
 def test_prefix_of_ordered_sets_is_complete():
     rng = np.random.default_rng(1)
-    order = jaccard_join.Order.of([(int(t), int(n)) for t, n in zip(np.arange(0, 40, 3), rng.integers(1, 5, 14))])
+    order = jaccard_join.Order.of(np.arange(0, 40, 3), rng.integers(1, 5, 14))
     for _ in range(200):
         a = np.unique(rng.integers(0, 60, 30)).astype(np.uint64)
         b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.95], rng.integers(0, 60, 2).astype(np.uint64)]))
@@ -100,7 +100,7 @@ def test_open_pairs_against_all_pairs(monkeypatch):
     monkeypatch.setattr(jaccard_join, "SHORT", 3)
     monkeypatch.setattr(jaccard_join, "LIST_BLOCK", 4)
     rng = np.random.default_rng(7)
-    order, columns, sets = jaccard_join.Order.of([]), [], []
+    order, columns, sets = jaccard_join.Order.of(np.zeros(0, int), np.zeros(0, int)), [], []
     for i in range(60):
         base = np.arange(100, dtype=np.uint64) * np.uint64(3) if i % 3 else np.arange(90, 200, dtype=np.uint64) * np.uint64(3)
         kept = base[rng.random(len(base)) < (0.98 if i % 2 else 0.9)]
@@ -125,3 +125,40 @@ def test_digests_bound_the_difference():
             assert jaccard_join.differing(jaccard_join.digest(a), jaccard_join.digest(b)) <= len(np.setxor1d(a, b))
     a, b = (np.unique(rng.integers(0, 2**62, 3000).astype(np.uint64)) for _ in range(2))
     assert jaccard_join.differing(jaccard_join.digest(a), jaccard_join.digest(b)) > 1200 and jaccard_join.differing(jaccard_join.digest(a), jaccard_join.digest(a)) == 0
+
+
+def test_spanning_pairs_tie_the_same_components():
+    rng = np.random.default_rng(9)
+    for _ in range(30):
+        comps = rng.integers(0, 10**9, 50)
+        forest, tied, whole = jaccard_join.Forest(comps), [], []
+        for _ in range(rng.integers(1, 6)):
+            x, y = rng.integers(0, 50, (2, 12))
+            kept = forest.ties(comps[x], comps[y])
+            whole += zip(comps[x].tolist(), comps[y].tolist())
+            tied += zip(comps[x[kept]].tolist(), comps[y[kept]].tolist())
+
+        def least(pairs):
+            root = {c: c for c in comps.tolist()}
+            for _ in range(50):
+                for a, b in pairs:
+                    root[a] = root[b] = min(root[a], root[b])
+            return root
+
+        assert least(tied) == least(whole) and len(tied) <= 49
+
+
+def test_a_group_of_near_copies_is_connected_by_few_answers(spark, monkeypatch):
+    """Copies that each have one word of their own: some 300 links to a set, fewer answers than twice the sets."""
+    rng = np.random.default_rng(4)
+    texts = []
+    for i in range(300):
+        w = [f"w{k}" for k in range(150)]
+        w[rng.integers(0, 150)] = f"x{i}"
+        texts.append((i, " ".join(w)))
+    asked = []
+    overlaps = jaccard_join.overlaps
+    monkeypatch.setattr(jaccard_join, "overlaps", lambda pairs, docs, width: (asked.append(pairs.count()), overlaps(pairs, docs, width))[1])
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    assert groups(docs) == brute(texts, 4, 85)
+    assert sum(asked) <= 3 * len(texts)

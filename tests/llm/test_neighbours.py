@@ -68,3 +68,17 @@ def test_defined_cases(spark):
     got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in neighbours.search(frame, F.col("vec_id") % 20 == 0, 3).collect())
     assert got == [(0, 1, 20, 2.0), (0, 2, 1, 0.5), (0, 3, 7, 0.5), (20, 1, 0, 2.0), (20, 2, 1, 1.0), (20, 3, 7, 1.0)]
     assert neighbours.search(frame.filter("false"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_every_length_is_searched_by_itself(spark):
+    rng = np.random.default_rng(5)
+    rows = [(100 + i, rng.normal(size=2).tolist()) for i in range(40)] + [(200 + i, rng.normal(size=3).tolist()) for i in range(20)] + [(300, [1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.search(frame, F.col("vec_id") % 20 == 0, 5).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    vectors = {i: np.array(v) for i, v in rows}
+    for q in (100, 120, 200):
+        others = sorted((i for i in vectors if i != q and len(vectors[i]) == len(vectors[q])), key=lambda i: (-(vectors[i] @ vectors[q]), i))[:5]
+        assert sorted(got[q]) == list(enumerate(others, 1))
+    assert set(got) == {100, 120, 200}

@@ -144,10 +144,11 @@ def test_invariants(spark, sf):
     assert sel.action_plan(rows).filter("severity in ('OK', 'INFORMATION')").count() == 0
 
 
-def test_overlap_limits_before_the_shuffle(spark):
+def test_overlap_takes_one_hash_exchange_and_no_window(spark):
     erp, rci, pdf = frames(spark, [("VF1", 1.0, DAY), ("VF2", 1.0, DAY), ("bad", 1.0, DAY)], [("VF2", 1.0, DAY), ("VF9", 1.0, DAY)])
     found = overlap.matching_overlap(erp, rci, pdf)
-    assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(") == 1 and "Window" not in plan and "Join" not in plan and plan.count("SinglePartition") == 1
     row = found.first()
     assert (row.total_erp_rows, row.total_erp_unique_invoices, row.intersection_erp_rci, row.only_erp_count, row.only_rci_count) == (3, 2, 1, 1, 1)
     assert (row.sample_common_invoices, row.sample_only_erp, row.sample_only_rci, row.sample_only_pdf) == ("VF2", "VF1", "VF9", "")

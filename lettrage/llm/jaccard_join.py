@@ -1,15 +1,18 @@
 """Exact Jaccard self-join on word shingles, with set relations used to skip work.
 
 1. Every text becomes a set of hashed shingles with a fingerprint; equal sets are linked through the least ``doc_id``.
-2. Shingles are ordered: the ``FREQUENT`` most repeated ones last, the rest by hash. Any fixed order is exact; this one
-   keeps the lists short. Two sets that link share a shingle among the first n - ceil(tn) + 1 of each.
+2. Shingles are ordered by how often they repeat, rare ones first, as a table of ``SLOTS`` bytes knows it: each repeated
+   shingle adds to the slot of its hash, and slots hold the logarithm. Any fixed order is exact, also where shingles share a
+   slot; this one keeps the lists short, however many shingles repeat. Two sets that link share a shingle among the first n - ceil(tn) + 1 of each.
 3. Those prefixes, dealt by shingle, are the inverted lists. Lists of one entry go at once. The entries carry size and
    position and are sorted by size; blocks of a list whose sizes or positions cannot reach the overlap are skipped whole.
 4. First pass: in each list and class of sizes, entries are held against the list's first only; every set keeps the
    pivot with which it shares most lists, and that pair is verified. A group of copies costs as many pairs as members.
 5. Lists inside one component go whole. Those of more than ``LIST_ENTRIES`` are cut into blocks by size class and large
    component, and each pair of blocks that these leave open is dealt out by itself, so no task holds more of a list.
-   Second pass: only entries whose sets are not yet connected form pairs. Where both have an answer for the same pivot,
+   Second pass: only entries whose sets are not yet connected form pairs, and of the pairs that a task finds, first only
+   those that tie further components; a group of near copies is mostly connected by their answers. Third pass: all pairs
+   that are left between components, so that none is missed. Where both have an answer for the same pivot,
    the pair's answer is bounded, and often decided, by the two known overlaps; parity bitmaps, as long as the sets are
    large, bound the rest. What remains is verified on whole sets. Pairs inside a component need no answer, as they cannot change it.
 
@@ -27,10 +30,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lettrage.llm.components import components
-from lettrage.llm.shared import stored
+from lettrage.llm.shared import released, stored
 
 WIDTH, PERCENT = 4, 85
-FREQUENT = 1 << 16
+SLOTS = 1 << 22
 #: Hashes counted at once when repeated shingles are looked for, and the local count from which one is reported.
 COUNTED, REPEATED = 1 << 21, 3
 #: Lists of up to so many entries are compared all at once; longer ones in blocks.
@@ -146,37 +149,27 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
         if held:
             yield repeated()
 
-    return encoded(docs).mapInArrow(read, SETS)
+    return encoded(docs).mapInArrow(released(read), SETS)
 
 
 @dataclass
 class Order:
-    """The global order of shingles: the frequent ones last, rarest first, all others by hash."""
+    """The global order of shingles: by the class of their slot, those that don't repeat first, then by hash."""
 
-    frequent: np.ndarray
-    ranks: np.ndarray
+    classes: np.ndarray
 
     @classmethod
-    def of(cls, rows: list[tuple[int, int]]) -> Order:
-        tokens = np.array([t for t, _ in rows], dtype=np.int64).view(np.uint64)
-        counts = np.array([n for _, n in rows], dtype=np.int64)
-        ranks = np.empty(len(rows), dtype=np.int64)
-        ranks[np.lexsort((tokens, counts))] = np.arange(1, len(rows) + 1)
-        by_token = np.argsort(tokens)
-        return cls(tokens[by_token], ranks[by_token])
+    def of(cls, slots: np.ndarray, repeats: np.ndarray) -> Order:
+        """Classes from the sums of slots: half powers of two."""
+        classes = np.zeros(SLOTS, dtype=np.uint8)
+        classes[slots] = np.minimum(1 + 2 * np.log2(np.maximum(repeats, 1)), 255).astype(np.uint8)
+        return cls(classes)
 
     def prefix(self, hashes: np.ndarray, percent: int) -> np.ndarray:
-        """The first shingles of a sorted set; hashes in ascending order are already in the order of the rare ones."""
+        """The first shingles of a sorted set; within a class the hashes stay in ascending order."""
         count = len(hashes) - -(-percent * len(hashes) // 100) + 1
-        if not len(self.frequent):
-            return hashes[:count]
-        place = np.minimum(np.searchsorted(self.frequent, hashes), len(self.frequent) - 1)
-        known = self.frequent[place] == hashes
-        rare = hashes[~known]
-        if len(rare) >= count:
-            return rare[:count]
-        common = hashes[known]
-        return np.concatenate([rare, common[np.argsort(self.ranks[place[known]])]])[:count]
+        classes = self.classes[(hashes & np.uint64(len(self.classes) - 1)).astype(np.intp)]
+        return hashes[np.argsort(classes, kind="stable")[:count]]
 
 
 def prefixes(docs: DataFrame, order: Order, width: int, percent: int) -> DataFrame:
@@ -211,7 +204,7 @@ def prefixes(docs: DataFrame, order: Order, width: int, percent: int) -> DataFra
         if held:
             yield entries()
 
-    return encoded(docs.filter(F.col("doc_id").isNotNull())).mapInArrow(read, ENTRIES)
+    return encoded(docs.filter(F.col("doc_id").isNotNull())).mapInArrow(released(read), ENTRIES)
 
 
 def whole_sets(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
@@ -233,7 +226,7 @@ def whole_sets(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
 
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return encoded(docs).join(ids, "doc_id", "left_semi").mapInArrow(read, "id bigint, n int, hashes array<bigint>")
+    return encoded(docs).join(ids, "doc_id", "left_semi").mapInArrow(released(read), "id bigint, n int, hashes array<bigint>")
 
 
 def overlaps(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
@@ -260,7 +253,7 @@ def plausible(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
     first = about.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("digest").alias("da"), F.col("mixed").alias("ma"))
     second = about.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("digest").alias("db"), F.col("mixed").alias("mb"))
     joined = pairs.select("a", "b").join(first, "a").join(second, "b")
-    return joined.select("a", "b", "na", "nb", "da", "db", (F.col("ma") + F.col("mb") > 0).alias("mixed")).mapInArrow(judge, "a bigint, b bigint")
+    return joined.select("a", "b", "na", "nb", "da", "db", (F.col("ma") + F.col("mb") > 0).alias("mixed")).mapInArrow(released(judge), "a bigint, b bigint")
 
 
 def linked(percent: int):
@@ -376,16 +369,51 @@ def in_groups(lists: DataFrame, percent: int) -> DataFrame:
     return whole.unionByName(dealt.select("*", F.col("deal.group").alias("token"), F.col("deal.half").alias("half")).drop("deal"))
 
 
-def unconnected_pairs(lists: DataFrame, percent: int) -> DataFrame:
+class Forest:
+    """Which components pairs have tied so far, in one task's lists; what is passed on ties two that weren't."""
+
+    def __init__(self, comps: np.ndarray):
+        self.names = np.unique(comps)
+        self.root = np.arange(len(self.names))
+
+    def ties(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Places of the pairs of components that tie new ones, in order."""
+        x, y = np.searchsorted(self.names, left), np.searchsorted(self.names, right)
+        found, root = [], self.root
+        for i in np.flatnonzero(root[x] != root[y]).tolist():
+            a, b = int(x[i]), int(y[i])
+            while root[a] != a:
+                a = int(root[a])
+            while root[b] != b:
+                b = int(root[b])
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                found.append(i)
+        if found:
+            while True:
+                further = root[root]
+                if (further == root).all():
+                    break
+                root = further
+            self.root = root
+        return np.array(found, dtype=np.intp)
+
+
+def unconnected_pairs(lists: DataFrame, percent: int, spanning: bool = False) -> DataFrame:
     """``a, b, sure``: pairs of sets in different components that share a list and that no bound rules out; ``sure`` pairs
-    link by what is known of their common pivot. Ids with several texts have no bounds (``known`` -1, ``mixed`` 1)."""
+    link by what is known of their common pivot. Ids with several texts have no bounds (``known`` -1, ``mixed`` 1). With
+    ``spanning``, of the pairs that a task finds together only those that tie further components: fewer than entries."""
     def read(batches):
         import pyarrow as pa
 
         def finish(parts):
             *columns, half, bits = [np.concatenate(c) for c in zip(*parts)]
             lists = Lists([*columns, bits], percent, half)
+            forest = Forest(lists.comp) if spanning else None
             for x, y, sure in lists.found():
+                if spanning and len(x):
+                    kept = forest.ties(lists.comp[x], lists.comp[y])
+                    x, y, sure = x[kept], y[kept], sure[kept]
                 a, b = lists.ids[x], lists.ids[y]
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(sure)], ["a", "b", "sure"])
@@ -410,15 +438,16 @@ def unconnected_pairs(lists: DataFrame, percent: int) -> DataFrame:
 
     columns = ["token", "n", "pos", "id", "comp", "pivot", "pivot_n", "known", "mixed", "half", "parity"]
     dealt = lists.select(columns).repartition("token").sortWithinPartitions("token", "n", "id")
-    return dealt.mapInArrow(read, "a bigint, b bigint, sure boolean").groupBy("a", "b").agg(F.max("sure").alias("sure"))
+    return dealt.mapInArrow(released(read), "a bigint, b bigint, sure boolean").groupBy("a", "b").agg(F.max("sure").alias("sure"))
 
 
 def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row."""
     spark = docs.sparkSession
     described = stored(describe(docs, width), "sets")
-    top = described.filter(F.col("token").isNotNull()).groupBy("token").agg(F.sum("repeats").alias("repeats")).orderBy(F.desc("repeats"), "token").limit(FREQUENT)
-    order = Order.of([(r["token"], r["repeats"]) for r in top.collect()])
+    slot = F.col("token").bitwiseAND(F.lit(SLOTS - 1).cast("bigint")).cast("int").alias("slot")
+    repeated = described.filter(F.col("token").isNotNull()).groupBy(slot).agg(F.sum("repeats").alias("repeats")).toArrow()  # SLOTS rows at most
+    order = Order.of(repeated.column(0).to_numpy(), repeated.column(1).to_numpy())
     sets = described.filter(F.col("token").isNull())
     full = sets.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     copies = full.join(
@@ -440,18 +469,26 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     known = first.groupBy(F.col("a").alias("id")).agg(
         F.first("b").alias("pivot"), F.min("nb").alias("pivot_n"), F.max("overlap").alias("known"), F.count(F.lit(1)).alias("answers")
     )
-    placed = lists.join(near.select(F.col("node").alias("id"), "component"), "id", "left")
-    placed = stored(placed.select("token", "n", "pos", "id", F.coalesce("component", "id").alias("comp")), "placed-lists")
-    listed = (
-        in_groups(placed, percent).join(known, "id", "left").join(about.select("id", "parity", "mixed"), "id")
-        .select("token", "n", "pos", "id", "comp", F.coalesce("pivot", F.lit(0)).alias("pivot"),
-                F.coalesce("pivot_n", F.lit(0)).alias("pivot_n"),
-                F.when((F.col("answers") == 1) & (F.col("mixed") == 0), F.col("known")).otherwise(-1).alias("known"), "mixed", "half", "parity")
-    )
-    open_pairs = stored(unconnected_pairs(listed, percent), "open-pairs")
-    unsure = stored(plausible(open_pairs.filter("not sure"), about, percent), "unsure-pairs")
-    second = overlaps(unsure, docs, width).filter(linked(percent)).select("a", "b")
-    found = components(links.unionByName(second).unionByName(open_pairs.filter("sure").select("a", "b")))
+    def open_pairs(near: DataFrame, spanning: bool) -> DataFrame:
+        placed = lists.join(near.select(F.col("node").alias("id"), "component"), "id", "left")
+        placed = stored(placed.select("token", "n", "pos", "id", F.coalesce("component", "id").alias("comp")), "placed-lists")
+        listed = (
+            in_groups(placed, percent).join(known, "id", "left").join(about.select("id", "parity", "mixed"), "id")
+            .select("token", "n", "pos", "id", "comp", F.coalesce("pivot", F.lit(0)).alias("pivot"),
+                    F.coalesce("pivot_n", F.lit(0)).alias("pivot_n"),
+                    F.when((F.col("answers") == 1) & (F.col("mixed") == 0), F.col("known")).otherwise(-1).alias("known"), "mixed", "half", "parity")
+        )
+        return unconnected_pairs(listed, percent, spanning)
+
+    def answered(pairs: DataFrame) -> DataFrame:
+        """The pairs that link: sure ones, and those of the rest whose whole sets do."""
+        unsure = stored(plausible(pairs.filter("not sure"), about, percent), "unsure-pairs")
+        return overlaps(unsure, docs, width).filter(linked(percent)).select("a", "b").unionByName(pairs.filter("sure").select("a", "b"))
+
+    tying = stored(open_pairs(near, True), "tying-pairs")
+    links = stored(links.unionByName(answered(tying)), "links")
+    rest = open_pairs(stored(components(links), "components"), False).join(tying.select("a", "b"), ["a", "b"], "left_anti")
+    found = components(links.unionByName(answered(stored(rest, "open-pairs"))))
     return sets.join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select(
         "doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )

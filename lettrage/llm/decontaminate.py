@@ -31,6 +31,9 @@ BLOCKS, BLOCK_BITS = 8, 16
 ITEM_CHANGES, WINDOW_CHANGES = 3, 1
 #: Largest number of benchmark shingles that are broadcast, about 50 MB; a larger benchmark is joined by shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Largest number of items whose block keys are broadcast, some 5,600 each of 200 bytes; the small file they are made from would
+#: let the planner broadcast any number of them.
+BROADCAST_ITEMS = 250
 
 
 def words_of(text: Column) -> Column:
@@ -152,6 +155,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     prints = stored(fingerprints(distinct), "fingerprints")
     listed = prints.select("k1", "k2", "size", "f0", "f1", F.explode(block_keys(WINDOW_CHANGES)).alias("key"))
     indexed = items.select("item_id", F.col("size").alias("of_size"), F.col("f0").alias("g0"), F.col("f1").alias("g1"), F.explode(block_keys(ITEM_CHANGES)).alias("of_key"))
+    if items.count() > BROADCAST_ITEMS:
+        indexed = indexed.hint("shuffle_merge")
     distance = F.bit_count(F.col("f0").bitwiseXOR(F.col("g0"))) + F.bit_count(F.col("f1").bitwiseXOR(F.col("g1")))
     near = (
         listed.join(indexed, (F.col("size") == F.col("of_size")) & (F.col("key") == F.col("of_key"))).filter(distance <= radius)

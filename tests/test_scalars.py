@@ -113,3 +113,19 @@ def test_weeks_and_bare_dates_like_fromisoformat(spark):
 
     got = values(spark, s.date_value, cases)
     assert [(c, g, read(c)) for c, g in zip(cases, got) if g != read(c)] == []
+
+
+def test_folding_looks_characters_up(spark):
+    # a pattern of hundreds of ranges takes a fold many times as long; the one that is left squeezes
+    plan = spark.range(1).select(s.folded_name(F.col("id").cast("string")).alias("y"))._jdf.queryExecution().optimizedPlan().toString()
+    texts = values(spark, s.folded_name, ["e\u0301 \ufb01\uac01", "\u0300", "x\U0001d165y", "\ufdfa\u00bd\x00\u00e9"])
+    assert plan.count("regexp_replace(") == 1
+    assert texts == [
+        "E FI\u1100\u1161\u11a8", "", "X" + "\U0001d165" * (unicodedata.combining("\U0001d165") == 0) + "Y",
+        unicodedata.normalize("NFKD", "\ufdfa\u00bd") + "\x00E"]
+
+
+def test_reading_a_name_folds_it_once(spark):
+    for function in (s.looks_like_name, s.looks_like_code):
+        plan = spark.range(1).select(function(F.col("id").cast("string")).alias("y"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("upper(") == 1

@@ -127,6 +127,12 @@ def test_coverage_lists(spark):
         (3, '["000123", "Garage Alpha"]', "123"), (4, '["000456", "Garage Beta"]', "456")]
 
 
+def test_title_words_meet_a_bound_key(spark):
+    plan = reference.header_rows(sheet(spark, ["Code client", "Nom"], ["1", "A"]))._jdf.queryExecution().optimizedPlan().toString()
+    scans = plan.count("LogicalRDD") + plan.count("LocalRelation")
+    assert plan.count("lower(") <= 2 * scans and plan.count("upper(") <= 2 * scans
+
+
 def test_rank_over_blocks(spark):
     rows = spark.range(0, 400_000, 3).select(F.lit("a").alias("key"), F.col("id").alias("row_idx"))
     ranked = reference.ranked(rows, ["key"], "row_idx", "place")

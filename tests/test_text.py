@@ -133,6 +133,17 @@ def test_title_words_meet_a_bound_key(spark):
     assert plan.count("lower(") <= 2 * scans and plan.count("upper(") <= 2 * scans
 
 
+def test_tables_of_one_row_group_are_dealt_over_tasks(spark, tmp_path):
+    from checks import views
+
+    rows = [(k, k % 7) for k in range(2 * views.TASK_ROWS + 1)] + [(None, None), (5, 5)]
+    spark.createDataFrame(rows, "k long, c long").coalesce(1).write.parquet(f"{tmp_path}/t.parquet")
+    table = views.table(spark, str(tmp_path), "t")
+    assert table.rdd.getNumPartitions() == 3 and sorted(map(repr, table.collect())) == sorted(f"Row(k={k}, c={c})" for k, c in rows)
+    sizes = [n for (n,) in table.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).select("n").collect()]
+    assert max(sizes) < 1.2 * len(rows) / 3
+
+
 def test_rank_over_blocks(spark):
     rows = spark.range(0, 400_000, 3).select(F.lit("a").alias("key"), F.col("id").alias("row_idx"))
     ranked = reference.ranked(rows, ["key"], "row_idx", "place")

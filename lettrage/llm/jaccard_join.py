@@ -4,7 +4,7 @@
 2. Shingles are ordered by how often they repeat, rare ones first, as a table of ``SLOTS`` bytes knows it: each repeated
    shingle adds to the slot of its hash, and slots hold the logarithm. Any fixed order is exact, also where shingles share a
    slot; this one keeps the lists short, however many shingles repeat. Two sets that link share a shingle among the first n - ceil(tn) + 1 of each.
-3. Those prefixes, dealt by shingle, are the inverted lists. Lists of one entry go at once. The entries carry size and
+3. Those prefixes, dealt by shingle, are the inverted lists; equal sets are listed once. Lists of one entry go at once. The entries carry size and
    position and are sorted by size; blocks of a list whose sizes or positions cannot reach the overlap are skipped whole.
 4. First pass: in each list and class of sizes, entries are held against the list's first only; every set keeps the
    pivot with which it shares most lists, and that pair is verified. A group of copies costs as many pairs as members.
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lettrage.llm.components import components
-from lettrage.llm.shared import released, stored
+from lettrage.llm.shared import released, stored, without
 
 WIDTH, PERCENT = 4, 85
 SLOTS = 1 << 22
@@ -172,8 +172,15 @@ class Order:
         return hashes[np.argsort(classes, kind="stable")[:count]]
 
 
+def one_of_each_set(docs: DataFrame, copies: DataFrame, about: DataFrame) -> DataFrame:
+    """The documents without those whose set is listed by a smaller ``doc_id``, which ``copies`` links to it; ids with several
+    texts stay. Else two groups of a and b copies that share a list and don't link would be a times b pairs."""
+    ids = copies.select(F.col("a").alias("doc_id")).distinct()
+    return without(docs, ids.join(about.filter("mixed = 1").select(F.col("id").alias("doc_id")), "doc_id", "left_anti"))
+
+
 def prefixes(docs: DataFrame, order: Order, width: int, percent: int) -> DataFrame:
-    """The entries of the inverted lists; of copies that meet in a task only the first is listed."""
+    """The entries of the inverted lists; of equal texts that meet in a task only the first is listed."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def read(batches):
@@ -454,15 +461,15 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         full.groupBy("s1", "s2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most"), ["s1", "s2"]
     ).select(F.col("doc_id").alias("a"), F.col("least").alias("b")).filter("a <> b")
 
-    entries = prefixes(docs, order, width, percent).repartition("token")
-    lists = entries.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("held > 1").drop("held")
-    lists = stored(lists, "lists")
     about = stored(full.groupBy(F.col("doc_id").alias("id")).agg(
         F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("digest").alias("digest"),
         ((F.min("s1") < F.max("s1")) | (F.min("s2") < F.max("s2"))).cast("int").alias("mixed"),
     ), "digests")
-    first = stored(overlaps(stored(plausible(to_pivots(lists, percent), about, percent), "pivots"), docs, width), "pivot-answers")
     copies = stored(copies, "copies")
+    entries = prefixes(one_of_each_set(docs, copies, about), order, width, percent).repartition("token")
+    lists = entries.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("held > 1").drop("held")
+    lists = stored(lists, "lists")
+    first = stored(overlaps(stored(plausible(to_pivots(lists, percent), about, percent), "pivots"), docs, width), "pivot-answers")
     links = copies.unionByName(first.filter(linked(percent)).select("a", "b"))
     near = components(links)
 

@@ -162,3 +162,16 @@ def test_a_group_of_near_copies_is_connected_by_few_answers(spark, monkeypatch):
     docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
     assert groups(docs) == brute(texts, 4, 85)
     assert sum(asked) <= 3 * len(texts)
+
+
+def test_equal_sets_are_listed_once(spark, monkeypatch):
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(1000)}" for _ in range(200)]
+    other = [f"v{i}" if i % 7 == 0 else w for i, w in enumerate(base)]  # shares shingles, but doesn't link
+    rows = [(d, " ".join(base if d % 2 else other)) for d in range(40)]
+    rows += [(50, " ".join(base)), (50, " ".join(other + ["x"]))]  # an id with several texts stays
+    listed, real = [], jaccard_join.prefixes
+    monkeypatch.setattr(jaccard_join, "prefixes", lambda docs, *rest: listed.append(sorted(r["doc_id"] for r in docs.collect())) or real(docs, *rest))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    assert groups(docs) == brute(rows, 4, 85)
+    assert listed == [[0, 1, 50, 50]]

@@ -31,9 +31,9 @@ BLOCKS, BLOCK_BITS = 8, 16
 ITEM_CHANGES, WINDOW_CHANGES = 3, 1
 #: Largest number of benchmark shingles that are broadcast, about 50 MB; a larger benchmark is joined by shuffle.
 BROADCAST_ROWS = 1_000_000
-#: Largest number of items whose block keys are broadcast, some 5,600 each of 200 bytes; the small file they are made from would
-#: let the planner broadcast any number of them.
-BROADCAST_ITEMS = 250
+#: Largest number of items whose block keys are broadcast, some 5,600 each of 200 bytes, so about 22 MB; the small file they are
+#: made from would let the planner broadcast any number of them.
+BROADCAST_ITEMS = 20
 
 
 def words_of(text: Column) -> Column:

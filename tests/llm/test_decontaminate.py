@@ -118,3 +118,11 @@ def test_very_long_text(spark):
     long = " ".join(f"x{i % 977}" for i in range(60_000)) + " " + item + " " + " ".join(f"y{i % 991}" for i in range(60_000))
     table = lambda name, text: spark.createDataFrame([(1, text)], f"{name} long, text string")
     assert leaks(table("doc_id", long), table("item_id", item)) == {(1, 1): 1.0}
+
+
+def test_keys_of_more_than_a_few_items_are_not_broadcast(spark):
+    items = [(i, " ".join(f"i{i}w{k}" for k in range(12))) for i in range(30)]
+    docs = [(i, f"before it {text} and after") for i, text in items]
+    found = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert "SortMergeJoin [size" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r["doc_id"], r["item_id"], r["start"]) for r in found.collect()) == [(i, i, 2) for i, _ in items]

@@ -336,7 +336,8 @@ def history(spark, sf):
     rows = reconciled(spark, sf)
     year = F.coalesce(F.year(F.coalesce("erp_date", "rci_date", "pdf_invoice_date")), F.lit(1999)).cast("string")
     stamped = hist.history_rows(rows.withColumn("year", year), F.concat("year", F.lit("1231_2130")), F.concat("year", F.lit("-12-31")))
-    return stamped.unionByName(stamped.filter("status = 'DOUBLON'"))
+    times = F.when(F.col("status") == "DOUBLON", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return stamped.select("*", F.explode(times).alias("time")).drop("time")
 
 
 _HISTORY = """

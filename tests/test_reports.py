@@ -219,3 +219,37 @@ def test_full_run_writes_every_export(spark, sf, tmp_path):
     assert read("reconciliation").count() == done.rows.count()
     # the text sources hold no second copies, so no duplicate can arise
     assert {r.status for r in summ.status_counts(done.rows).collect()} == set(fx.STATUS_ORDER) - {"DOUBLON"}
+
+
+def counted(spark, rows):
+    """The rows, and how many of them have been computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return rows.mapInArrow(read, rows.schema), seen
+
+
+def test_last_run_computes_its_rows_once(spark):
+    rows, seen = counted(spark, spark.createDataFrame([("2026-01-01", "a", 1), ("2026-01-02", "b", 2), ("2026-01-02", "b", 3)],
+                                                      "processing_date string, processing_run_id string, n int"))
+    assert sorted(r["n"] for r in hist.latest_run(rows).collect()) == [2, 3] and seen.value == 3
+
+
+def test_two_charts_take_one_name_search(spark, monkeypatch):
+    from checks import q_reports
+    from checks.registry import QUERIES
+
+    rows, seen = counted(spark, spark.createDataFrame([("A", 3, 1.0), ("B", 1, 9.0)], "customer_name string, nombre_factures bigint, montant_total_erp double"))
+    monkeypatch.setattr(q_reports, "suggestions", lambda spark, sf: rows)
+    found = sorted(map(tuple, QUERIES["top_out_of_scope"](spark, "").collect()))
+    assert found == [("amount", "A", 1.0), ("amount", "B", 9.0), ("count", "A", 3.0), ("count", "B", 1.0)] and seen.value == 2
+
+
+def test_many_visits_take_larger_chunks():
+    assert [names.chunk_size(n, 8) for n in (0, 128, 64_000, 10**7)] == [128, 128, 1000, 2048]
+    outline = names.Outline([{"part": 1, "least": "AB", "shortest": 2, "longest": 2, "letters": ["A", "B"], "masks": [[1], [2]]}])
+    assert outline.mask("A") is outline.mask("A") and outline.mask("A").tolist() == [[1]] and outline.mask("C") is None

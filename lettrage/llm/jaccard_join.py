@@ -11,10 +11,12 @@
 5. Lists inside one component go whole. Those of more than ``LIST_ENTRIES`` are cut into blocks by size class and large
    component, and each pair of blocks that these leave open is dealt out by itself, so no task holds more of a list.
    Second pass: only entries whose sets are not yet connected form pairs, and of the pairs that a task finds, first only
-   those that tie further components; a group of near copies is mostly connected by their answers. Third pass: all pairs
-   that are left between components, so that none is missed. Where both have an answer for the same pivot,
-   the pair's answer is bounded, and often decided, by the two known overlaps; parity bitmaps, as long as the sets are
-   large, bound the rest. What remains is verified on whole sets. Pairs inside a component need no answer, as they cannot change it.
+   those that tie further components, the likeliest links before all others; a group of near copies is mostly connected by
+   their answers, its stragglers included. Third pass: all pairs that are left between components, so that none is missed.
+   A task counts the lists that a pair shares and names it once; pairs that share fewer lists in all than a link needs go.
+   Where both have an answer for the same pivot, the pair's answer is bounded, and often decided, by the two known overlaps;
+   parity bitmaps, as long as the sets are large, bound the rest. What remains is verified on whole sets. Pairs inside a
+   component need no answer, as they cannot change it.
 
 Defined cases: null text is empty; a text without words has no shingles and links with nothing; with fewer words than
 ``width`` the whole sequence is the one shingle; rows that share a ``doc_id`` are one node, linked if any of its texts
@@ -44,6 +46,10 @@ PARITY_BITS = 1024
 TOGETHER = 200_000
 #: Entries of one list that are held together, in expectation; longer lists are dealt out in pairs of blocks of half as many.
 LIST_ENTRIES = 100_000
+#: Open pairs of a task that are held before they are counted, or before all but the likeliest ties are left.
+HELD_PAIRS = 1 << 20
+#: Pairs tie at once if they look alike by so much more than a link needs, and others after them, so many together.
+MARGIN, TIED = 0.03, 4096
 BROADCAST_IDS = 1_000_000
 MULTIPLIER, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 SETS = "doc_id bigint, n int, s1 bigint, s2 bigint, parity binary, digest binary, token bigint, repeats bigint"
@@ -72,6 +78,12 @@ def needed(na, nb, percent: int):
     return -(-(percent * (na + nb)) // (100 + percent))
 
 
+def least_shared(na, nb, percent: int):
+    """The least number of lists that two linked sets share: of the set whose prefix ends first, the rest of ceil(tn) - 1
+    shingles adds so many at most to the overlap."""
+    return needed(na, nb, percent) - np.maximum(-(-percent * na // 100), -(-percent * nb // 100)) + 1
+
+
 def encoded(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.encode("text", "utf-8").alias("bytes"))
 
@@ -306,6 +318,14 @@ class Lists:
         keep = ~both | (most >= need)
         return x[keep], y[keep], sure[keep]
 
+    def likeness(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The Jaccard similarities of the pairs as their parities suggest, to order them by; a bitmap with half its bits
+        unlike says nothing more."""
+        bits = np.bitwise_count(self.bits[x] ^ self.bits[y]).sum(1) / PARITY_BITS
+        apart = -PARITY_BITS / 2 * np.log(np.maximum(1 - 2 * bits, 1e-3))
+        both = self.n[x] + self.n[y]
+        return np.maximum(both - apart, 0) / (both + apart)
+
     def found(self):
         edges = np.flatnonzero(np.concatenate([[True], self.token[1:] != self.token[:-1], [True]]))
         sizes = np.diff(edges)
@@ -383,6 +403,15 @@ class Forest:
         self.names = np.unique(comps)
         self.root = np.arange(len(self.names))
 
+    def copy(self) -> Forest:
+        same = Forest(self.names)
+        same.root = self.root.copy()
+        return same
+
+    def apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether the pairs of components are not tied yet."""
+        return self.root[np.searchsorted(self.names, left)] != self.root[np.searchsorted(self.names, right)]
+
     def ties(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Places of the pairs of components that tie new ones, in order."""
         x, y = np.searchsorted(self.names, left), np.searchsorted(self.names, right)
@@ -406,24 +435,79 @@ class Forest:
         return np.array(found, dtype=np.intp)
 
 
+def tying(lists: Lists):
+    """Entries x, y, and whether their link is sure, of pairs that tie further components: fewer than entries. Sure and very
+    like pairs tie as they come; of the others the likeliest first, so that a set at the edge of a group is asked against
+    the members that it most likely links with."""
+    forest, held, size = Forest(lists.comp), [], 0
+
+    def likeliest(forest: Forest):
+        x, y, sure, like = [np.concatenate(c) for c in zip(*held)]
+        order, kept = np.argsort(-like, kind="stable"), [np.zeros(0, dtype=np.intp)]
+        for at in range(0, len(order), TIED):
+            part = order[at : at + TIED]
+            kept.append(part[forest.ties(lists.comp[x[part]], lists.comp[y[part]])])
+        kept = np.concatenate(kept)
+        return x[kept], y[kept], sure[kept], like[kept]
+
+    for x, y, sure in lists.found():
+        apart = forest.apart(lists.comp[x], lists.comp[y])
+        x, y, sure = x[apart], y[apart], sure[apart]
+        if not len(x):
+            continue
+        like = lists.likeness(x, y)
+        early = np.flatnonzero(sure | (like >= lists.percent / 100 + MARGIN))
+        early = early[forest.ties(lists.comp[x[early]], lists.comp[y[early]])]
+        yield x[early], y[early], sure[early]
+        apart = forest.apart(lists.comp[x], lists.comp[y])
+        if apart.any():
+            held.append((x[apart], y[apart], sure[apart], like[apart]))
+            size += len(held[-1][0])
+        if size >= HELD_PAIRS:
+            held = [likeliest(forest.copy())]
+            size = 0
+    if held:
+        yield likeliest(forest)[:3]
+
+
+def counted(pairs: list[tuple]) -> list[np.ndarray]:
+    """Columns a, b, sure, shared, least with each pair once: sure if it is once, ``shared`` added up."""
+    a, b, sure, shared, least = [np.concatenate(c) for c in zip(*pairs)]
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    return [
+        a[first], b[first], np.logical_or.reduceat(sure[order], first), np.add.reduceat(shared[order], first), np.minimum.reduceat(least[order], first)
+    ]
+
+
 def unconnected_pairs(lists: DataFrame, percent: int, spanning: bool = False) -> DataFrame:
-    """``a, b, sure``: pairs of sets in different components that share a list and that no bound rules out; ``sure`` pairs
-    link by what is known of their common pivot. Ids with several texts have no bounds (``known`` -1, ``mixed`` 1). With
-    ``spanning``, of the pairs that a task finds together only those that tie further components: fewer than entries."""
+    """``a, b, sure``: pairs of sets in different components that share enough lists and that no bound rules out; ``sure``
+    pairs link by what is known of their common pivot. Ids with several texts have no bounds (``known`` -1, ``mixed`` 1). With
+    ``spanning``, of the pairs that a task finds together only those that tie further components."""
     def read(batches):
         import pyarrow as pa
 
+        def named(pairs):
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in counted(pairs)], ["a", "b", "sure", "shared", "least"])
+
         def finish(parts):
             *columns, half, bits = [np.concatenate(c) for c in zip(*parts)]
             lists = Lists([*columns, bits], percent, half)
-            forest = Forest(lists.comp) if spanning else None
-            for x, y, sure in lists.found():
-                if spanning and len(x):
-                    kept = forest.ties(lists.comp[x], lists.comp[y])
-                    x, y, sure = x[kept], y[kept], sure[kept]
+            pairs, size = [], 0
+            for x, y, sure in tying(lists) if spanning else lists.found():
+                if not len(x):
+                    continue
                 a, b = lists.ids[x], lists.ids[y]
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(sure)], ["a", "b", "sure"])
+                least = least_shared(lists.n[x], lists.n[y], percent)
+                least[(lists.mixed[x] + lists.mixed[y] > 0) | spanning] = 0
+                pairs.append((np.minimum(a, b), np.maximum(a, b), sure, np.ones(len(x), dtype=np.int64), least))
+                size += len(x)
+                if size >= HELD_PAIRS:
+                    yield named(pairs)
+                    pairs, size = [], 0
+            if pairs:
+                yield named(pairs)
 
         held: list = []
         for batch in batches:
@@ -445,7 +529,9 @@ def unconnected_pairs(lists: DataFrame, percent: int, spanning: bool = False) ->
 
     columns = ["token", "n", "pos", "id", "comp", "pivot", "pivot_n", "known", "mixed", "half", "parity"]
     dealt = lists.select(columns).repartition("token").sortWithinPartitions("token", "n", "id")
-    return dealt.mapInArrow(released(read), "a bigint, b bigint, sure boolean").groupBy("a", "b").agg(F.max("sure").alias("sure"))
+    found = dealt.mapInArrow(released(read), "a bigint, b bigint, sure boolean, shared bigint, least bigint")
+    found = found.groupBy("a", "b").agg(F.max("sure").alias("sure"), F.sum("shared").alias("shared"), F.min("least").alias("least"))
+    return found.filter("sure or shared >= least").select("a", "b", "sure")
 
 
 def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -492,9 +578,9 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         unsure = stored(plausible(pairs.filter("not sure"), about, percent), "unsure-pairs")
         return overlaps(unsure, docs, width).filter(linked(percent)).select("a", "b").unionByName(pairs.filter("sure").select("a", "b"))
 
-    tying = stored(open_pairs(near, True), "tying-pairs")
-    links = stored(links.unionByName(answered(tying)), "links")
-    rest = open_pairs(stored(components(links), "components"), False).join(tying.select("a", "b"), ["a", "b"], "left_anti")
+    ties = stored(open_pairs(near, True), "tying-pairs")
+    links = stored(links.unionByName(answered(ties)), "links")
+    rest = open_pairs(stored(components(links), "components"), False).join(ties.select("a", "b"), ["a", "b"], "left_anti")
     found = components(links.unionByName(answered(stored(rest, "open-pairs"))))
     return sets.join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select(
         "doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")

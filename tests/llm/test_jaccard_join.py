@@ -175,3 +175,39 @@ def test_equal_sets_are_listed_once(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
     assert groups(docs) == brute(rows, 4, 85)
     assert listed == [[0, 1, 50, 50]]
+
+
+def test_stragglers_of_a_group_are_asked_against_their_likeliest_links(spark, monkeypatch):
+    """Copies with one to six changed words: those at the edge of the group look like others at the edge, but link elsewhere."""
+    rng = np.random.default_rng(6)
+    texts = []
+    for i in range(200):
+        w = [f"w{k}" for k in range(400)]
+        for k in range(rng.integers(1, 7)):
+            w[rng.integers(0, 400)] = f"x{i}y{k}"
+        texts.append((i, " ".join(w)))
+    rows, stored = {}, jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda frame, name: (out := stored(frame, name), rows.update({name: out.count()}))[0])
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    assert groups(docs) == brute(texts, 4, 85)
+    assert rows["open-pairs"] <= 40
+
+
+def test_linked_sets_share_the_least_number_of_lists():
+    rng = np.random.default_rng(8)
+    order, linked = jaccard_join.Order.of(np.arange(0, 900, 7), rng.integers(1, 50, 129)), 0
+    for _ in range(600):
+        a = np.unique(rng.integers(0, 5000, rng.integers(3, 400))).astype(np.uint64)
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < rng.uniform(0.85, 1)], rng.integers(0, 5000, rng.integers(0, len(a) // 6 + 1)).astype(np.uint64)]))
+        common = len(np.intersect1d(a, b))
+        if 100 * common >= 85 * (len(a) + len(b) - common):
+            linked += 1
+            assert len(np.intersect1d(order.prefix(a, 85), order.prefix(b, 85))) >= jaccard_join.least_shared(len(a), len(b), 85) >= 1
+    assert linked > 200 and jaccard_join.least_shared(2000, 2000, 85) > 130
+
+
+def test_a_task_names_a_pair_once():
+    pairs = [(np.array([5, 1, 5]), np.array([7, 2, 7]), np.array([False, False, True]), np.ones(3, dtype=int), np.array([4, 1, 4])),
+             (np.array([5, 5]), np.array([7, 6]), np.array([False, False]), np.array([2, 1]), np.array([4, 0]))]
+    got = list(zip(*[c.tolist() for c in jaccard_join.counted(pairs)]))
+    assert got == [(1, 2, False, 1, 1), (5, 6, False, 1, 0), (5, 7, True, 4, 4)]

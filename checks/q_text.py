@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lettrage.functions import fixed as fx
@@ -10,6 +10,7 @@ from lettrage.operators import feed_lines as feed
 from lettrage.operators import reference, selections as sel, sheets, statement_lines as stmt
 from lettrage.plans.run import RunConfig, run
 from lettrage.sources import text
+from lettrage.sources.shared import stored
 
 from . import views as v
 from .registry import query, scratch
@@ -21,9 +22,11 @@ from .sql import BASE, RAW, SOURCES, french, recon, with_
 def titled(title: str):
     """Every file of a text written by tasks begins with its title line."""
 
-    def lines(frames):
-        for i, frame in enumerate(frames):
-            yield pd.concat([pd.DataFrame({"value": [title]}), frame]) if i == 0 else frame
+    def lines(batches):
+        for i, batch in enumerate(batches):
+            if i == 0:
+                yield pa.RecordBatch.from_arrays([pa.array([title], batch.schema[0].type)], schema=batch.schema)
+            yield batch
 
     return lines
 
@@ -37,7 +40,8 @@ def titled(title: str):
 def _(spark, sf):
     folder, k = scratch(spark), F.col("k")
     odd = F.when(k % 5 == 0, ' "A;B", ""').when(k % 5 == 1, '\nsuite "fin').otherwise("")
-    rows = v.erp_raw(spark, sf).select("k", "facture", "date_text", "montant", F.concat("nom", odd).alias("nom"))
+    rows = stored(v.erp_raw(spark, sf).select("k", "facture", "date_text", "montant", F.concat("nom", odd).alias("nom")), "rows-to-write")
+    tasks = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
     exact = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     for i, (sep, encoding) in enumerate([(";", "UTF-8"), (",", "ISO-8859-1")]):
         rows.filter(k % 4 == i).write.options(sep=sep, encoding=encoding, **exact).csv(f"{folder}/{i}")
@@ -45,8 +49,8 @@ def _(spark, sf):
     quoted = lambda c: F.coalesce(F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"')), F.lit(""))
     for side, order in enumerate(orders):
         wide = F.when((k % 3 == 0) & (k % 4 == 3), ";plus").otherwise("")
-        lines = rows.filter(k % 4 == 2 + side).repartition(4, "k").select(F.concat(F.concat_ws(";", *[quoted(c) for c in order]), wide).alias("value"))
-        lines.mapInPandas(titled(";".join(order)), "value string").write.text(f"{folder}/sides/side={side}")
+        lines = rows.filter(k % 4 == 2 + side).repartition(tasks, "k").select(F.concat(F.concat_ws(";", *[quoted(c) for c in order]), wide).alias("value"))
+        lines.mapInArrow(titled(";".join(order)), "value string").write.text(f"{folder}/sides/side={side}")
     cells = text.read_delimited(spark, [f"{folder}/0", f"{folder}/1", f"{folder}/sides/side=0", f"{folder}/sides/side=1"])
     cells = cells.filter("row_idx > 0").withColumn("turned", F.contains(F.col("source_path"), F.lit("/side=1/")))
     at = lambda place: F.get("cells", F.lit(place))

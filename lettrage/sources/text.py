@@ -10,11 +10,14 @@ import re
 from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed as fx
+from .shared import stored
 
 DELIMITERS = [";", ",", "\t", "|"]
 #: Tried where none of the above fits a file; characters that names and amounts hold are left out.
@@ -75,9 +78,18 @@ def read_feed_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 _QUOTED = '(?s)"[^"]*"'
 
 
+def _number_of(char: str, text: Column) -> Column:
+    """How often an ASCII character is in a text, counted in bytes: the text may be no valid UTF-8."""
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(char), F.lit("")))
+
+
+def _unquoted(text: Column) -> Column:
+    return F.when(F.contains(text, F.lit('"')), F.regexp_replace(text, _QUOTED, "")).otherwise(text)
+
+
 def _fields(text: Column, delimiter: str) -> Column:
     """Number of fields of a record: delimiters outside quotes, and one."""
-    return F.regexp_count(F.regexp_replace(text, _QUOTED, ""), F.lit("[" + ("\\" if delimiter in "^[]" else "") + delimiter + "]")) + 1
+    return _number_of(delimiter, _unquoted(text)) + 1
 
 
 def describe_delimited(spark: SparkSession, paths: list[str] | str, delimiters: list[str] = DELIMITERS) -> DataFrame:
@@ -88,20 +100,24 @@ def describe_delimited(spark: SparkSession, paths: list[str] | str, delimiters:
     ``STRAY`` of it, or among all if there is none: the root of the mean squared difference, from one sum and one sum of
     squares per file and delimiter.
     """
-    rows = text_rows(spark, paths, "\n")
-    at_start = F.col("row_ord.block") == 0
-    returns = F.length("line") - F.length(F.replace("line", F.lit("\r"), F.lit("")))
-    rows = rows.withColumn("odd_end", returns > F.endswith("line", F.lit("\r")).cast("int"))
-    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
-    filled = F.trim("line", F.lit(" \r")) != ""
+    line = F.col("line")
+    # read once per line, whatever number of measures it enters
+    rows = text_rows(spark, paths, "\n").select("path", "source_file", "row_ord.block", "row_ord.id", "line", _unquoted(line).alias("plain"))
+    rows = rows.select(
+        "path", "source_file", "line", F.when(F.col("block") == 0, F.col("id")).alias("place"), F.is_valid_utf8("line").alias("valid"),
+        (_number_of('"', line) % 2 == 1).alias("odd_quotes"),
+        (_number_of("\r", line) > F.endswith("line", F.lit("\r")).cast("int")).alias("odd_end"), (F.trim("line", F.lit(" \r")) != "").alias("filled"),
+        *[_number_of(d, F.col("plain")).alias(f"n_{i}") for i, d in enumerate(delimiters)],
+    )
     found = []
-    for i, d in enumerate(delimiters):
-        n = F.when(filled, _fields(F.col("line"), d) - 1).cast("double")
-        found += [F.max(_fields(F.col("line"), d)).alias(f"width_{i}"), F.sum(n).alias(f"sum_{i}"), F.sum(n * n).alias(f"squares_{i}")]
+    for i in range(len(delimiters)):
+        n = F.when(F.col("filled"), F.col(f"n_{i}")).cast("double")
+        found += [(F.max(f"n_{i}") + 1).alias(f"width_{i}"), F.sum(n).alias(f"sum_{i}"), F.sum(n * n).alias(f"squares_{i}")]
+    # a collected set makes this an aggregate over objects, which a first line of text alone would have sorted all lines for
     files = rows.groupBy("path", "source_file").agg(
-        F.min_by("line", F.when(at_start, F.col("row_ord"))).alias("first_line"),
-        F.bool_and(F.is_valid_utf8("line")).alias("utf8"), F.bool_or(quotes % 2 == 1).alias("multi"), F.bool_or("odd_end").alias("odd_end"),
-        F.count_if(filled).alias("lines"), *found,
+        F.min_by("line", "place").alias("first_line"),
+        (F.size(F.collect_set(F.when(~F.col("valid"), True))) == 0).alias("utf8"), F.bool_or("odd_quotes").alias("multi"), F.bool_or("odd_end").alias("odd_end"),
+        F.count_if(F.col("filled")).alias("lines"), *found,
     )
 
     def judged(i: int, d: str) -> Column:
@@ -150,7 +166,7 @@ class QuoteState:
     """What a line does to the state at its start: outside a quoted value (0) or inside one (1)."""
 
     def __init__(self, delimiter: str):
-        d = re.escape(delimiter)
+        self.delimiter, d = delimiter, re.escape(delimiter)
         field = f'(?:"(?:[^"]|"")*+"[^{d}]*+|[^"{d}][^{d}]*+|)'
         self.opened = re.compile(f'(?:{field}{d})*+"(?:[^"]|"")*+$')
         self.closing = re.compile(f'(?:[^"]|"")*+"[^{d}]*+')
@@ -168,38 +184,77 @@ class QuoteState:
                 return 0
         return int(self.opened.match(line[start:] if start else line) is not None)
 
+    def effect(self, line: Column) -> Column:
+        """What a line does to both states, by the same rules: 0 keeps the state, 1 turns it, 2 sets it to 0 and 3 to 1.
+
+        All repetitions are possessive, so that a long line needs no deep stack.
+        """
+        d = re.escape(self.delimiter)
+        quoted, rest = '(?:[^"]++|"")*+', f"[^{d}]*+"
+        opened = f'(?:(?:"{quoted}"{rest}|[^"{d}]{rest}|){d})*+"{quoted}\\z'
+        from0 = line.rlike("\\A" + opened)
+        # a line that closes no value stays inside; one that does may open another behind a delimiter
+        from1 = ~line.rlike(f'\\A{quoted}"') | line.rlike(f'\\A{quoted}"{rest}{d}{opened}')
+        known = F.when(from0, F.when(from1, 3).otherwise(TURNS)).otherwise(F.when(from1, KEEPS).otherwise(2))
+        return F.when(F.contains(line, F.lit('"')), known).otherwise(KEEPS)
+
 
 _SPLIT = "path string, block bigint, from0 int, from1 int"
 _FRAGMENT = "path string, source_file string, block bigint, place bigint, part int, text string"
 WHOLE, HEAD, MIDDLE, TAIL = range(4)
+KEEPS, TURNS, SETS = range(3)
+
 
+def states_after(effects: np.ndarray, state: int) -> np.ndarray:
+    """The quote state after each of several lines, from their effects and the state before the first: the last line that
+    sets the state, and the number of turns since."""
+    place = np.maximum.accumulate(np.where(effects >= SETS, np.arange(len(effects)), -1))
+    turns = np.cumsum(effects == TURNS)
+    is_set = place >= 0
+    return np.where(is_set, effects[place] - SETS, state) ^ ((turns - np.where(is_set, turns[place], 0)) & 1)
 
-def _lines(spark: SparkSession, paths: list[str], utf8: bool = True) -> DataFrame:
-    """Lines in reading order, as read and without a carriage return; those of one file and block are one split, in one task."""
+
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, int, pa.RecordBatch]]:
+    """The lines of a batch by split."""
+    path, block = batch.column("path"), batch.column("block")
+    if not batch.num_rows:
+        return
+    other = pc.or_(pc.not_equal(path[1:], path[:-1]), pc.not_equal(block[1:], block[:-1]))
+    starts = [0, *(np.flatnonzero(other.to_numpy(zero_copy_only=False)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(starts, starts[1:]):
+        yield path[a].as_py(), block[a].as_py(), batch.slice(a, b - a)
+
+
+def _lines(spark: SparkSession, paths: list[str], delimiter: str, utf8: bool = True) -> DataFrame:
+    """Lines in reading order with their effect on the quote state; those of one file and block are one split, in one task."""
     line = F.col("line") if utf8 else from_single_byte(F.decode(F.col("line").cast("binary"), "ISO-8859-1"))
     rows = text_rows(spark, paths, "\n").withColumn("line", line)
-    return rows.select("path", "source_file", "row_ord.block", "line", F.regexp_replace("line", "\r$", "").alias("bare"))
+    bare = F.when(F.endswith("line", F.lit("\r")), F.regexp_replace("line", "\r$", "")).otherwise(F.col("line"))
+    return rows.select("path", "source_file", "row_ord.block", "line", QuoteState(delimiter).effect(bare).alias("effect"))
 
 
 def inside_quotes(spark: SparkSession, paths: list[str], delimiter: str, utf8: bool = True) -> list[tuple[str, int]]:
     """The splits (path, block) that begin inside a quoted value. Every split computes what it does to both states; one
     row per split, in order, then gives the state at its start. Lines without quotes change no state and don't leave the scan."""
-    rule = QuoteState(delimiter)
 
-    def effect(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def effect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = ["path", "block", "from0", "from1"]
+        kinds = [pa.string(), pa.int64(), pa.int32(), pa.int32()]
+        made = lambda row: pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], columns)
         split, ends = None, [0, 1]
-        for frame in frames:
-            for path, block, line in zip(frame["path"], frame["block"], frame["bare"]):
+        for batch in batches:
+            for path, block, rows in _runs(batch):
                 if (path, block) != split:
                     if split:
-                        yield pd.DataFrame([(*split, *ends)], columns=["path", "block", "from0", "from1"])
+                        yield made((*split, *ends))
                     split, ends = (path, block), [0, 1]
-                ends = [rule.after(ends[0], line), rule.after(ends[1], line)] if ends[0] != ends[1] else [rule.after(ends[0], line)] * 2
+                effects = rows.column("effect").to_numpy(zero_copy_only=False)
+                ends = [int(states_after(effects, state)[-1]) for state in ends]
         if split:
-            yield pd.DataFrame([(*split, *ends)], columns=["path", "block", "from0", "from1"])
+            yield made((*split, *ends))
 
-    lines = _lines(spark, paths, utf8)
-    quoted = lines.filter(F.contains("bare", F.lit('"'))).select("path", "block", "bare").mapInPandas(effect, _SPLIT)
+    lines = _lines(spark, paths, delimiter, utf8)
+    quoted = lines.filter(F.contains("line", F.lit('"'))).select("path", "block", "effect").mapInArrow(effect, _SPLIT)
     # a split without quotes keeps the state, and begins like the next one: every block of a file needs a row
     blocks = lines.select("path", "block").distinct().join(quoted, ["path", "block"], "left")
     known = blocks.select("path", "block", F.coalesce("from0", F.lit(0)).alias("from0"), F.coalesce("from1", F.lit(1)).alias("from1"))
@@ -218,52 +273,69 @@ def inside_quotes(spark: SparkSession, paths: list[str], delimiter: str, utf8: b
 
 def records_over_lines(spark: SparkSession, paths: list[str], delimiter: str, utf8: bool = True) -> DataFrame:
     """``path, source_file, block, place, text``: the records of files whose quoted values go over line ends, read in splits.
-    A split puts its own lines together; what it has of a record that began or goes on in another split is joined by order
-    of the splits, which only moves these pieces."""
-    rule, inside = QuoteState(delimiter), set(inside_quotes(spark, paths, delimiter, utf8))
-
-    def assemble(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    A split puts its own lines together, whole batches at a time; what it has of a record that began or goes on in another
+    split is joined by order of the splits, which only moves these pieces. The pieces are stored, as several steps read them."""
+    inside = set(inside_quotes(spark, paths, delimiter, utf8))
+    columns = ["path", "source_file", "block", "place", "part", "text"]
+
+    def pieces_of(split: tuple, name: str, places, parts, texts) -> pa.RecordBatch:
+        n = len(texts)
+        arrays = [pa.repeat(pa.scalar(split[0]), n), pa.repeat(pa.scalar(name), n), pa.repeat(pa.scalar(split[1], pa.int64()), n)]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(places, pa.int64()), pa.array(parts, pa.int32()), texts], columns)
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the lines of the record at hand that came in earlier batches, the place of its first line, lines read of the split,
+        # and whether the record began in an earlier split
         split, name, state, held, first, number, began = None, None, 0, [], 0, 0, False
-
-        def finished(last: bool) -> list:
-            if not held and not began:
-                return []
-            kind = (MIDDLE if began else TAIL) if last else (HEAD if began else WHOLE)
-            return [(split[0], name, split[1], first, kind, "\n".join(held))]
-
-        for frame in frames:
-            rows = []
-            for path, source, block, line, bare in zip(frame["path"], frame["source_file"], frame["block"], frame["line"], frame["bare"]):
+        left = lambda: pieces_of(split, name, [first], [MIDDLE if began else TAIL], pa.array(["\n".join(held)], pa.string()))
+        for batch in batches:
+            for path, block, rows in _runs(batch):
                 if (path, block) != split:
-                    if split and (held or began):
-                        rows += finished(True)
-                    split, name, number, first, held = (path, block), source, 0, 0, []
-                    began = (path, block) in inside
+                    if held:
+                        yield left()
+                    split, name, number, first, held = (path, block), rows.column("source_file")[0].as_py(), 0, 0, []
+                    began = split in inside
                     state = int(began)
-                state = rule.after(state, bare)
-                held.append(line if state else bare)
-                number += 1
-                if not state:
-                    if began or held != [""]:
-                        rows += finished(False)
-                    held, first, began = [], number, False
-            yield pd.DataFrame(rows, columns=["path", "source_file", "block", "place", "part", "text"])
-        if split and (held or began):
-            yield pd.DataFrame(finished(True), columns=["path", "source_file", "block", "place", "part", "text"])
-
-    pieces = _lines(spark, paths, utf8).select("path", "source_file", "block", "line", "bare").mapInPandas(assemble, _FRAGMENT)
-    columns = ["path", "source_file", "block", "place", "text"]
+                lines = rows.column("line")
+                states = states_after(rows.column("effect").to_numpy(zero_copy_only=False), state)
+                state = int(states[-1])
+                ends = np.flatnonzero(states == 0)
+                if len(ends):
+                    starts = np.concatenate([[0], ends[:-1] + 1])
+                    offsets = pa.array(np.concatenate([starts, ends[-1:] + 1]), pa.int32())
+                    texts = pc.binary_join(pa.ListArray.from_arrays(offsets, lines), "\n")
+                    places, parts = starts + number, np.full(len(ends), WHOLE, np.int32)
+                    if held:
+                        texts = pa.concat_arrays([pa.array(["\n".join([*held, texts[0].as_py()])], pa.string()), texts[1:]])
+                        places[0] = first
+                    if began:
+                        parts[0] = HEAD
+                    texts = pc.utf8_rtrim(texts, characters="\r")
+                    made = pieces_of(split, name, places, parts, texts)
+                    # an empty line is no record
+                    yield made.filter(pc.or_(pc.not_equal(texts, ""), pc.not_equal(made.column("part"), WHOLE)))
+                    held, began = [], False
+                    first = number + int(ends[-1]) + 1
+                    held += lines[int(ends[-1]) + 1 :].to_pylist()
+                else:
+                    held += lines.to_pylist()
+                number += rows.num_rows
+        if held:
+            yield left()
+
+    pieces = stored(_lines(spark, paths, delimiter, utf8).mapInArrow(assemble, _FRAGMENT), "record-pieces")
+    columns_left = ["path", "source_file", "block", "place", "text"]
     # at most two pieces per split: a record's end from the split before, and the begin of one that goes on
     order = Window.partitionBy("path").orderBy("block", "place")
     owned = pieces.filter(F.col("part") != WHOLE).withColumn("owner", F.count_if(F.col("part") == TAIL).over(order))
     joined = owned.groupBy("path", "source_file", "owner").agg(F.min(F.struct("block", "place")).alias("at"), F.sort_array(F.collect_list(F.struct("block", "place", "text"))).alias("parts"))
     joined = joined.select("path", "source_file", "at.block", "at.place", F.array_join("parts.text", "\n").alias("text"))
-    return pieces.filter(F.col("part") == WHOLE).select(columns).unionByName(joined.select(columns))
+    return pieces.filter(F.col("part") == WHOLE).select(columns_left).unionByName(joined.select(columns_left))
 
 
-def _split_records(spark: SparkSession, paths: list[str], delimiter: str, utf8: bool) -> tuple[DataFrame, DataFrame]:
-    """Sheet rows of files whose records go over line ends, as wide as the widest record, and a row (source_path, row_idx)
-    for the titles of every file."""
+def _split_records(spark: SparkSession, paths: list[str], delimiter: str, utf8: bool) -> DataFrame:
+    """Sheet rows of files whose records go over line ends, as wide as the widest record, with ``title`` for the first of
+    every file."""
     records = records_over_lines(spark, paths, delimiter, utf8)
     order = F.floor(F.col("block") / _BLOCK_BYTES) * (1 << _ID_BITS) + F.col("place") + 1
     rows = records.select(
@@ -272,9 +344,12 @@ def _split_records(spark: SparkSession, paths: list[str], delimiter: str, utf8:
     found = rows.groupBy("source_path").agg(F.min("row_idx").alias("row_idx"), F.max(_fields(F.col("text"), delimiter)).alias("width")).collect()
     width = max((r["width"] for r in found), default=1)
     record = F.from_csv("text", F.lit(", ".join(f"c{i} string" for i in range(width))), _options(delimiter, width) | {"multiLine": True})
-    cells = F.array(*[F.col(f"record.c{i}") for i in range(width)]).alias("cells")
-    titles = spark.createDataFrame([(r["source_path"], r["row_idx"]) for r in found], "source_path string, row_idx bigint")
-    return rows.withColumn("record", record).select("source_path", "source_file", "source_sheet", "row_idx", cells), titles
+    titles = spark.createDataFrame([(r["source_path"], r["row_idx"], True) for r in found], "source_path string, row_idx bigint, title boolean")
+    # one row per file, as in the listing
+    placed = rows.withColumn("record", record).join(F.broadcast(titles), ["source_path", "row_idx"], "left")
+    return placed.withColumn("title", F.col("title").isNotNull()).select(
+        "source_path", "source_file", "source_sheet", "row_idx", "title", *[F.col(f"record.c{i}").alias(f"c{i}") for i in range(width)]
+    )
 
 
 def _listed_files(spark: SparkSession, paths: list[str] | str, delimiters: list[str]) -> Iterator:
@@ -308,12 +383,13 @@ def read_delimited(spark: SparkSession, paths: list[str] | str, delimiters: list
     parts = [spark.createDataFrame([], _SHEET_ROWS)]
     keys = ["source_path", "source_file", "source_sheet"]
     for (delimiter, utf8, multi, whole), (width, listed) in sorted(groups.items()):
-        clean = lambda cells: F.transform(cells, lambda c: F.when(~c.isin(fx.CSV_MISSING), c))
+        first = lambda c: F.regexp_replace(c, "^\ufeff", "")
         if multi and not whole:
-            rows, titles = _split_records(spark, listed, delimiter, utf8)
-            titles = F.broadcast(titles)  # one row per file, as in the listing
-            head = rows.join(titles, ["source_path", "row_idx"], "left_semi").select(*keys, F.lit(0).cast("bigint").alias("row_idx"), "cells")
-            body = rows.join(titles, ["source_path", "row_idx"], "left_anti").select(*keys, "row_idx", clean(F.col("cells")).alias("cells"))
+            rows = _split_records(spark, listed, delimiter, utf8)
+            columns = [c for c in rows.columns if c not in (*keys, "row_idx", "title")]
+            shown = lambda c: first(F.col(c)) if c == columns[0] else F.col(c)
+            cells = [F.when(F.col("title"), shown(c)).when(~F.col(c).isin(fx.CSV_MISSING), F.col(c)) for c in columns]
+            parts.append(rows.select(*keys, F.when(F.col("title"), 0).otherwise(F.col("row_idx")).cast("bigint").alias("row_idx"), F.array(*cells).alias("cells")))
         else:
             if multi:
                 width = _widest_record(spark, listed, delimiter, utf8, width)
@@ -332,9 +408,9 @@ def read_delimited(spark: SparkSession, paths: list[str] | str, delimiters: list
             head = records.select(*place, order.alias("place"), F.array(*[shown(c) for c in columns]).alias("cells")).groupBy(*keys).agg(
                 F.lit(0).cast("bigint").alias("row_idx"), F.min_by("cells", "place").alias("cells")
             )
-        first = F.regexp_replace(F.get("cells", F.lit(0)), "^\ufeff", "")
-        head = head.withColumn("cells", F.concat(F.array(first), F.slice("cells", F.lit(2), F.greatest(F.size("cells") - 1, F.lit(0)))))
-        parts.append(head.unionByName(body))
+            others = F.slice("cells", F.lit(2), F.greatest(F.size("cells") - 1, F.lit(0)))
+            head = head.withColumn("cells", F.concat(F.array(first(F.get("cells", F.lit(0)))), others))
+            parts.append(head.unionByName(body))
     return reduce(DataFrame.unionByName, parts)
 
 

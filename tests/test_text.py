@@ -3,8 +3,10 @@ from contextlib import contextmanager
 from datetime import date
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from lettrage.operators import feed_lines as feed
 from lettrage.operators import reference, sheets, statement_lines as stmt
@@ -225,6 +227,36 @@ def test_what_a_line_does_to_the_quote_state(delimiter):
             assert rule.after(state, line) == ends_inside(state, line, delimiter), (state, line)
 
 
+@pytest.mark.parametrize("delimiter", [";", "^", "\t", "]"])
+def test_effects_of_lines_follow_the_quote_state(spark, delimiter):
+    rng = random.Random(5)
+    lines = [x.replace(";", delimiter) for x in QUOTED_LINES] + ["".join(rng.choice(f'a"{delimiter}') for _ in range(rng.randint(0, 9))) for _ in range(2000)]
+    lines += ['"' + '""' * 100_000 + delimiter, ('"a""b"' + delimiter) * 50_000 + '"open']  # no deep stack
+    found = spark.createDataFrame([(x,) for x in lines], "line string").select("line", text.QuoteState(delimiter).effect(F.col("line")).alias("effect")).collect()
+    for row in found:
+        effect = np.array([row.effect])
+        assert [int(text.states_after(effect, s)[0]) for s in (0, 1)] == [ends_inside(s, row.line, delimiter) for s in (0, 1)], row.line[:80]
+    effects, state = np.array([r.effect for r in found]), 1
+    for row, after in zip(found, text.states_after(effects, 1)):
+        state = ends_inside(state, row.line, delimiter)
+        assert state == after
+
+
+def test_files_are_described_without_sorting_their_lines(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text('Facture;Texte\nVF1;"x\ny"\n')
+    plans, listed = [], DataFrame.toLocalIterator
+    monkeypatch.setattr(DataFrame, "toLocalIterator", lambda self, *a: plans.append(self._jdf.queryExecution().executedPlan().toString()) or listed(self, *a))
+    rows = text.read_delimited(spark, str(tmp_path)).orderBy("row_idx").collect()
+    assert [r.cells for r in rows] == [["Facture", "Texte"], ["VF1", "x\ny"]]
+    assert "ObjectHashAggregate" in plans[0] and "SortAggregate" not in plans[0]
+
+
+def test_lines_of_split_records_pass_python_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('Facture;Texte\nVF1;"x\ny"\n')
+    plan = text.read_delimited(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapIn" not in plan
+
+
 @contextmanager
 def small_splits(spark, size):
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))

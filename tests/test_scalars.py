@@ -129,3 +129,14 @@ def test_reading_a_name_folds_it_once(spark):
     for function in (s.looks_like_name, s.looks_like_code):
         plan = spark.range(1).select(function(F.col("id").cast("string")).alias("y"))._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("upper(") == 1
+
+
+def test_blank_texts_and_numbers_that_pass_untouched(spark):
+    spaces = ["", " ", "\t\n\x0b\f\r", "\u0085\u00a0\u1680\u2003\u2028\u2029\u202f\u205f\u3000", "\x1c", "\u200b", " x ", "\U0001f600", None]
+    blank = [r.b for r in spark.createDataFrame([(x,) for x in spaces], "x string").select(s.is_blank("x").alias("b")).collect()]
+    assert blank == [True] * 4 + [False] * 4 + [True]
+    numbers = {"VF12": "VF12", "AAF7": "AAF7", "VF12\n": "VF12", "fvf 12": "VF12", "FVF12": "VF12", "VF": None, "VF1x": None, "VF\u0661": None, " aaf 7": "AAF7"}
+    frame = spark.createDataFrame([(x,) for x in numbers], "x string").select("x", s.invoice_number("x").alias("n"))
+    assert {r.x: r.n for r in frame.collect()} == numbers
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert r"\A(?:VF|AAF)[0-9]+\z" in plan

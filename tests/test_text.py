@@ -41,6 +41,24 @@ def test_feed_lines(spark):
     assert [r.row_ord for r in feed.feed_rejects(feed_frame(spark)).collect()] == [3]
 
 
+def test_patterns_read_the_same_by_plain_classes(spark):
+    parts = ["VF12", "fvf 7", "aaf\t9", "xVF1", "VF3x", "VF\u00a04", "\u00e9VF5", "VF6\u00e9", "SAP00012345", "sap 123456 ", "_VF8", "VF9_", "\u0660VF1", "VF\u0661", "-", " ", "\x1f", "\x0b", "\x85"]
+    rng = random.Random(3)
+    lines = spark.createDataFrame([("".join(rng.choice(parts) for _ in range(rng.randint(1, 5))),) for _ in range(3000)], "line string")
+    for pattern in (feed.INVOICE, feed.DEALER, stmt.INVOICE):
+        assert lines.filter(feed.read_by(pattern, F.col("line"), lambda p: F.regexp_instr("line", F.lit(p))) != F.regexp_instr("line", F.lit(pattern))).count() == 0
+    plan = feed.located(feed_frame(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert "octet_length" in plan
+
+
+def test_inputs_of_the_full_run_are_landed_once(spark, sf):
+    from checks.q_text import full_inputs
+
+    for frame in full_inputs(spark, sf):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert "o_orderkey" not in plan and "c_custkey" not in plan
+
+
 def test_statement_lines(spark):
     lines = [
         "TIERS NUMERO CODE EMISSION ECHEANCE TYPE CHASSIS SOMME SAISIE",
